@@ -100,6 +100,6 @@ def delivered(cohort_rows: DataFrame) -> DataFrame:
             col = F.format_number(col, 0)
         elif f.type == "string":
             shift = F.col(schema.STRATUM) % 3
-            col = F.when(shift == 0, col).when(shift == 1, F.lower(col)).otherwise(F.concat(F.lit("  "), col, F.lit("\t")))
+            col = F.when(shift == 0, col).when(shift == 1, F.lower(col)).otherwise(F.concat(F.lit("\u00a0 "), col, F.lit("\t")))
         columns.append(col.cast("string").alias(f.source))
     return cohort_rows.select(*columns)

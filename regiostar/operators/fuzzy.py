@@ -127,3 +127,11 @@ def apply_mapping(df: DataFrame, column: str, mapping: DataFrame, name: str) ->
     """Canonical name per row, null where there is none. Pass a written mapping, whose size Catalyst knows."""
     pairs = mapping.select(F.col("raw").alias("_raw"), F.col("canonical").alias(name))
     return df.join(pairs, F.col(column) == F.col("_raw"), "left").drop("_raw")
+
+
+def with_name_score(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
+    """Token-sort score of two columns, row by row; each derived text is computed once."""
+    texts = df.withColumns({"_left": sorted_tokens(F.col(left)), "_right": sorted_tokens(F.col(right))})
+    masked = texts.withColumn("_masks", position_masks(F.col("_right")))
+    scored = masked.withColumn(name, indel_ratio(F.col("_left"), F.col("_right"), F.col("_masks")))
+    return scored.drop("_left", "_right", "_masks")

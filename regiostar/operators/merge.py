@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -37,11 +37,19 @@ def sums_by_name(macro: DataFrame, year: str, region: str, values: Sequence[str]
     return macro.groupBy(F.col(year).alias("year"), F.col(region).cast("string").alias("raw")).agg(*sums, *counts)
 
 
-def means_by_region(sums: DataFrame, mapping: DataFrame, values: Sequence[str]) -> DataFrame:
-    """Mean of each value per (year, canonical name), over all rows of all names that map to it."""
+def means_by_region(
+    sums: DataFrame, mapping: DataFrame, values: Sequence[str], types: Mapping[str, T.DataType]
+) -> DataFrame:
+    """Mean of each value per (year, canonical name), over all rows of all names that map to it.
+
+    Means are computed in double precision; a 32-bit float column gives 32-bit means.
+    """
     mapped = apply_mapping(sums, "raw", mapping, "region").filter(F.col("region").isNotNull())
     means = [
-        (F.sum(f"sum_{v}") / F.nullif(F.sum(f"count_{v}"), F.lit(0))).alias(v) for v in values
+        (F.sum(f"sum_{v}") / F.nullif(F.sum(f"count_{v}"), F.lit(0)))
+        .cast("float" if isinstance(types[v], T.FloatType) else "double")
+        .alias(v)
+        for v in values
     ]
     return mapped.groupBy("year", "region").agg(*means)
 
@@ -65,7 +73,8 @@ def annual_macro(
     chosen = list(values) if values is not None else sorted(numeric_columns(macro, exclude=[year]))
     sums = materialize(sums_by_name(macro, year, region, chosen), "macro-sums")
     mapping = materialize(map_names(sums, "raw", names, names_column, threshold), "name-mapping")
-    annual = materialize(means_by_region(sums, mapping, chosen), "macro-annual")
+    types = {f.name: f.dataType for f in macro.schema.fields}
+    annual = materialize(means_by_region(sums, mapping, chosen, types), "macro-annual")
     return mapping, annual, chosen
 
 
@@ -164,7 +173,7 @@ def merge_macro(
     lookup = joined.withColumn("matched", any_value).join(medians, "year", "left")
     for column in columns:
         lookup = lookup.withColumnRenamed(column, f"raw_{column}").withColumn(
-            column, F.coalesce(F.col(f"raw_{column}"), F.col(f"median_{column}"))
+            column, F.coalesce(F.col(f"raw_{column}"), F.col(f"median_{column}").cast(annual.schema[column].dataType))
         )
     lookup = lookup.drop(*[f"median_{c}" for c in columns])
     lookup = materialize(lookup, "macro-lookup")

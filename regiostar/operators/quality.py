@@ -183,10 +183,10 @@ def gate(df: DataFrame, rules: Sequence[Rule], history: str | None = None, run_i
 
     Reads ``df`` once, and again only for samples of failed rules. With ``history``, results are appended there.
     """
-    results = evaluate(df, rules).collect()
+    report = evaluate(df, rules)
+    results = report.collect()
     if history is not None:
-        spark = df.sparkSession
-        store_results(spark.createDataFrame(results), history, run_id or "")
+        store_results(df.sparkSession.createDataFrame(results, report.schema), history, run_id or "")
     failed = [r for r in results if not r["success"]]
     if not failed:
         return df

@@ -36,10 +36,6 @@ MART_COLUMNS = [
     "rank_depto_por_sector",
 ]
 
-_SERIES = W.partitionBy(schema.REGION, schema.SECTOR).orderBy(schema.YEAR)
-_REGION_YEAR = W.partitionBy(schema.YEAR, schema.REGION)
-_SECTOR_YEAR = W.partitionBy(schema.YEAR, schema.SECTOR).orderBy(F.desc(TOTAL))
-
 
 def mart_base(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Sum, count and mean per year, region, code and sector, for the target strata and sectors.
@@ -65,11 +61,11 @@ def _whole(value: Column) -> Column:
 
 def previous(column: str | Column) -> Column:
     """Value of the previous year present in the series, which need not be the year before."""
-    return F.lag(column).over(_SERIES)
+    return F.lag(column).over(W.partitionBy(schema.REGION, schema.SECTOR).orderBy(schema.YEAR))
 
 
 def with_region_total(base: DataFrame) -> DataFrame:
-    return base.withColumn("total_depto_anio", F.sum(TOTAL).over(_REGION_YEAR))
+    return base.withColumn("total_depto_anio", F.sum(TOTAL).over(W.partitionBy(schema.YEAR, schema.REGION)))
 
 
 def with_share(base: DataFrame) -> DataFrame:
@@ -102,7 +98,8 @@ def with_share_change(base: DataFrame) -> DataFrame:
 
 
 def with_rank(base: DataFrame) -> DataFrame:
-    return base.withColumn("rank_depto_por_sector", F.rank().over(_SECTOR_YEAR))
+    by_volume = W.partitionBy(schema.YEAR, schema.SECTOR).orderBy(F.desc(TOTAL))
+    return base.withColumn("rank_depto_por_sector", F.rank().over(by_volume))
 
 
 def mart_from_base(base: DataFrame) -> DataFrame:
