@@ -51,7 +51,7 @@ def _staged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _macro(spark: SparkSession, folder: str) -> DataFrame:
-    return materialize(typing.optimise_types(fx.recent_macro(spark, folder)), "macro")
+    return typing.optimise_types(materialize(fx.recent_macro(spark, folder), "macro"))
 
 
 def _merge(spark: SparkSession, folder: str) -> merge.MacroMerge:

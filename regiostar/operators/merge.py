@@ -74,12 +74,18 @@ def annual_macro(
     sums = materialize(sums_by_name(macro, year, region, chosen), "macro-sums")
     mapping = materialize(map_names(sums, "raw", names, names_column, threshold), "name-mapping")
     types = {f.name: f.dataType for f in macro.schema.fields}
-    annual = materialize(means_by_region(sums, mapping, chosen, types), "macro-annual")
-    return mapping, annual, chosen
+    if mapping.filter(F.col("canonical").isNotNull()).isEmpty():
+        raise RuntimeError("no macro region matches a cohort region; lower the threshold or check the column")
+    return mapping, means_by_region(sums, mapping, chosen, types), chosen
+
 
+def group_medians(
+    weighted: DataFrame, group: str, values: Sequence[str], weight: str, size: int | None = None
+) -> DataFrame:
+    """Median of each value per group, each row standing for ``weight`` rows. All values share one pass.
 
-def group_medians(weighted: DataFrame, group: str, values: Sequence[str], weight: str) -> DataFrame:
-    """Median of each value per group, each row standing for ``weight`` rows. All values share one pass."""
+    ``size`` may give the rows of ``weighted``, which are counted otherwise.
+    """
     listed = F.array(*[F.struct(F.lit(v).alias("column"), F.col(v).cast("double").alias("value")) for v in values])
     counts = (
         weighted.select(group, weight, F.inline(listed))
@@ -87,7 +93,10 @@ def group_medians(weighted: DataFrame, group: str, values: Sequence[str], weight
         .groupBy(group, "column", "value")
         .agg(F.sum(weight).alias("_count"))
     )
-    middle = quantiles_of_counts(materialize(counts, "median-counts"), [group, "column"], "value", [0.5])
+    if size is None:
+        counts = materialize(counts, "median-counts")
+    bound = None if size is None else size * len(values)
+    middle = quantiles_of_counts(counts, [group, "column"], "value", [0.5], size=bound)
     medians = [F.max(F.when(F.col("column") == v, F.col("quantiles")[0])).alias(f"median_{v}") for v in values]
     return middle.groupBy(group).agg(*medians)
 
@@ -158,18 +167,17 @@ def merge_macro(
         cohort.groupBy(F.col(year).alias("year"), F.col(region).alias("region")).agg(F.count("*").alias("rows")),
         "region-counts",
     )
-    if counts.isEmpty():
+    size = counts.count()
+    if size == 0:
         raise RuntimeError("the cohort is empty, so the merge would be empty")
     mapping, annual, columns = annual_macro(
         macro, counts, "region", macro_year, macro_region, values, threshold
     )
-    if annual.isEmpty():
-        raise RuntimeError("no macro region matches a cohort region; lower the threshold or check the column")
     joined = counts.join(annual, ["year", "region"], "left")
     any_value = F.lit(False)
     for column in columns:
         any_value = any_value | F.col(column).isNotNull()
-    medians = group_medians(joined, "year", columns, "rows")
+    medians = group_medians(joined, "year", columns, "rows", size)
     lookup = joined.withColumn("matched", any_value).join(medians, "year", "left")
     for column in columns:
         lookup = lookup.withColumnRenamed(column, f"raw_{column}").withColumn(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from regiostar import schema
 from regiostar.operators.quantiles import exact_quantiles, quantiles_of_counts, value_counts
+from regiostar.session import materialize
 
 
 def _c(name: str):
@@ -83,18 +84,19 @@ def outlier_rows(df: DataFrame, measure: str) -> DataFrame:
 
 
 def outlier_report(df: DataFrame, measure: str) -> DataFrame:
-    """Quartiles, bound, count and percentage of outliers; everything follows from the value counts."""
-    counts = value_counts(df, [], measure)
-    quartiles = quantiles_of_counts(counts, [], measure, [0.25, 0.75])
+    """Quartiles, bound, count and percentage of outliers; everything follows from one table of counts."""
+    counts = materialize(df.groupBy(_c(measure).alias("value")).agg(F.count("*").alias("_count")), "value-counts")
+    quartiles = quantiles_of_counts(counts.filter(F.col("value").isNotNull()), [], "value", [0.25, 0.75])
     q1, q3 = F.col("quantiles")[0], F.col("quantiles")[1]
-    bound = quartiles.select((q3 + 1.5 * (q3 - q1)).alias("bound"))
-    outliers = F.sum(F.when(_c(measure) > bound.scalar(), F.col("_count")).otherwise(0))
+    bounds = quartiles.select(q1.alias("q1"), q3.alias("q3"), (q3 + 1.5 * (q3 - q1)).alias("upper_bound"))
+    bound = bounds.select("upper_bound").scalar()
+    outliers = F.sum(F.when(F.col("value") > bound, F.col("_count")).otherwise(0))
     return counts.agg(
-        quartiles.select(q1).scalar().alias("q1"),
-        quartiles.select(q3).scalar().alias("q3"),
-        bound.scalar().alias("upper_bound"),
+        bounds.select("q1").scalar().alias("q1"),
+        bounds.select("q3").scalar().alias("q3"),
+        bound.alias("upper_bound"),
         outliers.alias("outliers"),
-        df.agg(F.count("*")).scalar().alias("total_rows"),
+        F.sum("_count").alias("total_rows"),
     ).withColumn("percent", F.round(F.col("outliers") * 100.0 / F.col("total_rows"), 2).cast("double"))
 
 
@@ -128,17 +130,22 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, measure: str, cap: float = 50, bins: int = 50) -> DataFrame:
-    """Equal-width bins over the values up to ``cap``; the last bin includes its upper edge."""
-    kept = df.filter(_c(measure) <= cap)
-    low = F.min(_c(measure)).cast("double")
-    high = F.max(_c(measure)).cast("double")
+    """Equal-width bins over the values up to ``cap``; the last bin includes its upper edge.
+
+    The rows are read once, into a table of value counts.
+    """
+    kept = df.filter(_c(measure) <= cap).select(_c(measure).cast("double").alias("value"))
+    counts = value_counts(kept, [], "value")
+    low, high = F.min("value"), F.max("value")
     single = low == high
-    edges = kept.agg(
+    edges = counts.agg(
         F.when(single, low - 0.5).otherwise(low).alias("low"), F.when(single, high + 0.5).otherwise(high).alias("high")
     )
-    counts = kept.groupBy(_c(measure).cast("double").alias("value")).agg(F.count("*").alias("rows"))
     placed = counts.select(
-        "value", "rows", edges.select("low").scalar().alias("low"), edges.select("high").scalar().alias("high")
+        "value",
+        F.col("_count").alias("rows"),
+        edges.select("low").scalar().alias("low"),
+        edges.select("high").scalar().alias("high"),
     )
     bin_number = F.least(
         F.floor((F.col("value") - F.col("low")) * bins / (F.col("high") - F.col("low"))), F.lit(bins - 1)

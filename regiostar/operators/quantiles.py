@@ -32,9 +32,13 @@ def quantiles_of_counts(
     probabilities: Sequence[float],
     frequency: str = "_count",
     single_task_values: int = SINGLE_TASK_VALUES,
+    size: int | None = None,
 ) -> DataFrame:
-    """One row per group with an array of quantiles, from a written table of values and frequencies."""
-    if counts.count() <= single_task_values:
+    """One row per group with an array of quantiles, from a table of values and frequencies.
+
+    The table is counted first, so pass a written one, or an upper bound of its rows as ``size``.
+    """
+    if (counts.count() if size is None else size) <= single_task_values:
         at = F.array(*[F.lit(float(p)) for p in probabilities])
         return counts.groupBy(*group).agg(F.percentile(F.col(value), at, F.col(frequency)).alias("quantiles"))
     return _quantiles_by_rank(counts, group, value, probabilities, frequency)

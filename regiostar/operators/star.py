@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,52 +23,76 @@ def _set_number(names: Sequence[str], dimension: schema.Dimension) -> int:
 
 def grouped_members(cohort: DataFrame, dimensions: Sequence[schema.Dimension] = schema.DIMENSIONS) -> DataFrame:
     """Distinct natural keys of all dimensions from one scan, reduced in each task before the shuffle."""
-    names = [n for d in dimensions for n in d.names]
+    names = _member_names(dimensions)
     require_columns(cohort, names, "cohort")
     sets = [[F.col(n) for n in d.names] for d in dimensions]
     grouped = cohort.select(*names).groupingSets(sets, *[F.col(n) for n in names])
     return materialize(grouped.agg(F.grouping_id().alias(_SET)), "dimension-members")
 
 
-def distinct_members(
-    cohort: DataFrame, dimensions: Sequence[schema.Dimension] = schema.DIMENSIONS
-) -> dict[str, DataFrame]:
-    names = [n for d in dimensions for n in d.names]
-    grouped = grouped_members(cohort, dimensions)
-    return {d.table: grouped.filter(F.col(_SET) == _set_number(names, d)).select(*d.names) for d in dimensions}
+def _member_names(dimensions: Sequence[schema.Dimension]) -> list[str]:
+    return [n for d in dimensions for n in d.names]
+
+
+def members_of(grouped: DataFrame, dimension: schema.Dimension) -> DataFrame:
+    number = _set_number(_member_names(schema.DIMENSIONS), dimension)
+    return grouped.filter(F.col(_SET) == number).select(*dimension.names)
+
+
+def set_sizes(grouped: DataFrame) -> dict[str, int]:
+    """Members per dimension, counted in one job."""
+    sizes = {r[0]: r[1] for r in grouped.groupBy(_SET).count().collect()}
+    names = _member_names(schema.DIMENSIONS)
+    return {d.table: sizes.get(_set_number(names, d), 0) for d in schema.DIMENSIONS}
 
 
 def new_dimensions(cohort: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> dict[str, DataFrame]:
     """Dimensions numbered 1..n in natural key order; null keys are members like any other."""
-    names = [n for d in schema.DIMENSIONS for n in d.names]
     grouped = grouped_members(cohort)
-    sizes = {r[0]: r[1] for r in grouped.groupBy(_SET).count().collect()}
-    numbered = {}
-    for d in schema.DIMENSIONS:
-        number = _set_number(names, d)
-        members = grouped.filter(F.col(_SET) == number).select(*d.names)
-        numbered[d.table] = number_rows(members, d.names, d.key, 0, single_task_rows, sizes.get(number, 0))
-    return numbered
+    sizes = set_sizes(grouped)
+    return {
+        d.table: number_rows(members_of(grouped, d), d.names, d.key, 0, single_task_rows, sizes[d.table])
+        for d in schema.DIMENSIONS
+    }
 
 
-def complete_members(members: DataFrame, dimension: schema.Dimension) -> DataFrame:
-    return members.dropna(subset=dimension.names)
+def absent_members(members: DataFrame, existing: DataFrame, dimension: schema.Dimension) -> DataFrame:
+    """Members without nulls whose natural key the existing dimension does not hold."""
+    known = existing.select(*dimension.names)
+    return members.dropna(subset=dimension.names).join(known, dimension.names, "left_anti")
 
 
-def absent_members(members: DataFrame, existing: DataFrame, dimension: schema.Dimension) -> DataFrame:
-    """Members whose natural key the existing dimension does not hold."""
-    return members.join(existing, dimension.names, "left_anti")
+def largest_keys(existing: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Largest surrogate key per dimension, 0 for an empty one, in one job."""
+    maxima = [
+        existing[d.table].agg(F.lit(d.table).alias("table"), F.coalesce(F.max(d.key), F.lit(0)).alias("largest"))
+        for d in schema.DIMENSIONS
+    ]
+    return {r["table"]: r["largest"] for r in reduce(DataFrame.unionByName, maxima).collect()}
 
 
 def upsert_members(
-    members: DataFrame, existing: DataFrame, dimension: schema.Dimension
-) -> tuple[DataFrame, DataFrame]:
-    """Existing rows keep their keys, new ones continue after the largest. Returns (all rows, new rows)."""
-    known = existing.select(dimension.key, *dimension.names)
-    fresh = materialize(absent_members(complete_members(members, dimension), known, dimension), "new-members")
-    largest = known.agg(F.coalesce(F.max(dimension.key), F.lit(0))).first()[0]
-    numbered = number_rows(fresh, dimension.names, dimension.key, start=largest)
-    return known.unionByName(numbered), numbered
+    grouped: DataFrame, existing: Mapping[str, DataFrame], single_task_rows: int = SINGLE_TASK_ROWS
+) -> dict[str, DataFrame]:
+    """New members of each dimension that has any, numbered on from its largest key.
+
+    Existing members keep their keys, so a second load of the same rows adds nothing.
+    """
+    names = _member_names(schema.DIMENSIONS)
+    absent = []
+    for d in schema.DIMENSIONS:
+        rows = absent_members(members_of(grouped, d), existing[d.table], d)
+        others = [F.lit(None).cast(grouped.schema[n].dataType).alias(n) for n in names if n not in d.names]
+        absent.append(rows.select(*d.names, *others, F.lit(_set_number(names, d)).cast("long").alias(_SET)))
+    fresh = materialize(reduce(DataFrame.unionByName, absent), "new-members")
+    sizes, largest = set_sizes(fresh), largest_keys(existing)
+    return {
+        d.table: number_rows(
+            members_of(fresh, d), d.names, d.key, largest[d.table], single_task_rows, sizes[d.table]
+        )
+        for d in schema.DIMENSIONS
+        if sizes[d.table]
+    }
 
 
 def lookup_keys(cohort: DataFrame, dimensions: Mapping[str, DataFrame], null_safe: bool) -> DataFrame:
@@ -95,9 +120,9 @@ def unresolved() -> Column:
 
 
 def fact_rows(cohort: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Null-safe lookup: every cohort row becomes a fact row."""
+    """Null-safe lookup: every cohort row becomes a fact row. The year stays for partitioning."""
     return lookup_keys(cohort, dimensions, null_safe=True).select(
-        *schema.SURROGATE_KEYS, *[f.name for f in schema.FACT_FIELDS]
+        *schema.SURROGATE_KEYS, *[f.name for f in schema.FACT_FIELDS], schema.YEAR
     )
 
 
@@ -134,7 +159,4 @@ def orphan_counts(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataF
                 F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows"),
             )
         )
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
+    return reduce(DataFrame.unionByName, checks)

@@ -44,8 +44,9 @@ def staged_cohort(spark: SparkSession, config: RunConfig) -> DataFrame:
 
 
 def staged_macro(spark: SparkSession, config: RunConfig) -> DataFrame:
+    """The text records are parsed from JSON once; type inference and casts read the staged columns."""
     records = extract_records(spark, config.macro_path, min_year=config.min_year, arrays=config.macro_arrays)
-    return read_staging(spark, write_staging(optimise_types(records), fresh_path(spark, "macro")))
+    return optimise_types(read_staging(spark, write_staging(records, fresh_path(spark, "macro"))))
 
 
 def merged_cohort(cohort: DataFrame, macro: DataFrame, threshold: float) -> tuple[DataFrame, MacroMerge]:

@@ -15,17 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiostar import schema
-from regiostar.operators.star import distinct_members, fact_rows, new_dimensions, resolved_fact, upsert_members
+from regiostar.operators.star import fact_rows, grouped_members, members_of, new_dimensions, resolved_fact, upsert_members
 from regiostar.plans.mart import GRAIN, mart_base, mart_from_base
 
-MANIFEST = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("table", T.StringType()),
-        T.StructField("part", T.StringType()),
-        T.StructField("path", T.StringType()),
-    ]
-)
+MANIFEST = "version long, entries array<struct<`table` string, part string, path string>>"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # how Spark names the folder of a null partition value
 BASE_TABLE = "mart_base"
 MART_TABLE = "credit_mart"
 RESULTS_TABLE = "validation_results"
@@ -58,26 +52,20 @@ class Warehouse:
 
     # Manifest
 
-    def _manifest(self) -> DataFrame:
-        path = f"{self.root}/_manifest"
+    def current(self) -> tuple[int, list[Entry]]:
+        """Version number and entries; a handful of entries per dimension load and one per fact year."""
         try:
-            return self.spark.read.schema(MANIFEST).json(path)
+            manifest = self.spark.read.schema(MANIFEST).json(f"{self.root}/_manifest")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return self.spark.createDataFrame([], MANIFEST)
-
-    def current(self) -> tuple[int, list[Entry]]:
-        """Version number and entries; a handful of rows per dimension load and one per fact year."""
-        manifest = self._manifest()
-        newest = manifest.agg(F.max("version").alias("version"))
-        rows = manifest.join(newest, "version", "left_semi").collect()
-        version = rows[0]["version"] if rows else 0
-        return version, [(r["table"], r["part"], r["path"]) for r in rows]
+            return 0, []
+        newest = manifest.orderBy(F.desc("version")).limit(1).collect()
+        return (newest[0]["version"], [tuple(e) for e in newest[0]["entries"]]) if newest else (0, [])
 
     def publish(self, version: int, entries: Iterable[Entry]) -> None:
-        rows = [(version, *entry) for entry in entries]
-        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(f"{self.root}/_manifest")
+        row = self.spark.createDataFrame([(version, list(entries))], MANIFEST)
+        row.coalesce(1).write.mode("append").json(f"{self.root}/_manifest")
 
     def _folder(self, table: str) -> str:
         return f"{table}/run={uuid.uuid4().hex}"
@@ -113,8 +101,8 @@ class Warehouse:
 
     # Writing
 
-    def _write_by_year(self, df: DataFrame, table: str, hint: bool) -> dict[int, str]:
-        """Write partitions by year and return the folder of each year that has rows.
+    def _write_by_year(self, df: DataFrame, table: str, hint: bool) -> dict[str, str]:
+        """Write partitions by year and return the folder of each year that has rows, by its name.
 
         The rebalance hint gathers the rows of a year into files of the advisory size and splits a year
         that holds much of the data, so neither tiny files nor one huge task result.
@@ -124,7 +112,8 @@ class Warehouse:
         rows.write.partitionBy(schema.YEAR).option("compression", "snappy").parquet(f"{self.root}/{folder}")
         written = self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}")
         years = [r[0] for r in written.select(schema.YEAR).distinct().collect()]
-        return {year: f"{folder}/{schema.YEAR}={year}" for year in years}
+        names = [NULL_PARTITION if year is None else str(year) for year in years]
+        return {name: f"{folder}/{schema.YEAR}={name}" for name in names}
 
     def _write_dimension(self, dimension: schema.Dimension, rows: DataFrame) -> list[Entry]:
         folder = self._folder(dimension.table)
@@ -139,13 +128,10 @@ class Warehouse:
         for d in schema.DIMENSIONS:
             entries += self._write_dimension(d, members[d.table])
         dimensions = self.dimensions(entries)
-        facts = fact_rows(cohort, dimensions).withColumn(
-            schema.MACRO_VALUE, F.lit(None).cast(schema.MACRO_VALUE_TYPE)
-        )
-        period = dimensions[schema.PERIOD.table].select("sk_period", schema.YEAR)
-        facts = facts.join(period, "sk_period").select(*fact_schema().names)
+        no_macro = F.lit(None).cast(schema.MACRO_VALUE_TYPE).alias(schema.MACRO_VALUE)
+        facts = fact_rows(cohort, dimensions).select("*", no_macro).select(*fact_schema().names)
         years = self._write_by_year(facts, schema.FACT_TABLE, hint=True)
-        entries += [(schema.FACT_TABLE, str(year), path) for year, path in years.items()]
+        entries += [(schema.FACT_TABLE, year, path) for year, path in years.items()]
         self.publish(version + 1, entries)
 
     def load(
@@ -161,21 +147,19 @@ class Warehouse:
         facts. Returns the rejected rows.
         """
         version, entries = self.current()
-        members = distinct_members(cohort)
-        batch_years = {
-            r[0] for r in members[schema.PERIOD.table].select(schema.YEAR).dropna().distinct().collect()
-        }
-        dimensions: dict[str, DataFrame] = {}
+        grouped = grouped_members(cohort)
+        years = members_of(grouped, schema.PERIOD).select(schema.YEAR).dropna().distinct()
+        batch_years = {str(r[0]) for r in years.collect()}
+        fresh = upsert_members(grouped, self.dimensions(entries))
         for d in schema.DIMENSIONS:
-            _, fresh = upsert_members(members[d.table], self.dimension(d, entries), d)
-            if not fresh.isEmpty():
-                entries = entries + self._write_dimension(d, fresh)
-            dimensions[d.table] = self.dimension(d, entries)
+            if d.table in fresh:
+                entries = entries + self._write_dimension(d, fresh[d.table])
+        dimensions = self.dimensions(entries)
         source = cohort if fact_source is None else fact_source
         accepted, rejected = resolved_fact(source, dimensions)
         written = self._write_by_year(accepted, schema.FACT_TABLE, hint=True)
-        kept = [e for e in entries if not (e[0] == schema.FACT_TABLE and int(e[1]) in batch_years)]
-        kept += [(schema.FACT_TABLE, str(year), path) for year, path in written.items()]
+        kept = [e for e in entries if not (e[0] == schema.FACT_TABLE and e[1] in batch_years)]
+        kept += [(schema.FACT_TABLE, year, path) for year, path in written.items()]
         if before_publish is not None:
             before_publish()
         self.publish(version + 1, kept)
@@ -202,7 +186,7 @@ class Warehouse:
             folders = self._write_by_year(mart_base(facts, dimensions), BASE_TABLE, hint=False)
             for year in changed:
                 # A year without a row in scope still counts as done; it points at no folder.
-                kept.append((BASE_TABLE, f"{year}|{current[year]}", folders.get(int(year), "")))
+                kept.append((BASE_TABLE, f"{year}|{current[year]}", folders.get(year, "")))
         paths = [e for e in kept if e[2]]
         base_columns = mart_base(self.fact([]), dimensions).schema
         base = self._read(paths, BASE_TABLE, base_columns, partitioned=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,9 +31,12 @@ def work_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="regiostar-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _local_root(_application: str) -> str:
+    return tempfile.mkdtemp(prefix="regiostar-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from regiostar import schema
 from regiostar.plans.warehouse import Warehouse
+from regiostar.session import materialize
 
 BATCH = "batch"
 
@@ -22,8 +23,8 @@ def landed_schema() -> T.StructType:
 
 def latest_by_year(rows: DataFrame) -> DataFrame:
     """Rows of the last batch that holds their year: what loading the batches one after the other would leave."""
-    last = rows.groupBy(schema.YEAR).agg(F.max(BATCH).alias("_last"))
-    newest = last.select(F.col(schema.YEAR).alias("_year"), "_last")
+    last = rows.groupBy(F.col(schema.YEAR).alias("_year")).agg(F.max(BATCH).alias("_last"))
+    newest = materialize(last, "last-batches")
     same = (F.col(schema.YEAR) == F.col("_year")) & (F.col(BATCH) == F.col("_last"))
     return rows.join(newest, same, "left_semi")
 

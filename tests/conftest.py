@@ -10,7 +10,13 @@ from regiostar.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[8]", 4, **{"spark.driver.memory": "4g"})
+    # The tables are tiny, so compiling each plan would take longer than interpreting it.
+    quick = {
+        "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+    }
+    session = build_session("local[8]", 2, **{"spark.driver.memory": "4g", **quick})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
