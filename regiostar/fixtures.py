@@ -26,6 +26,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores if the files give fewer tasks than that; large tables stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def region_names(spark: SparkSession) -> DataFrame:
     """The list above; its 25 rows may always be broadcast."""
     return F.broadcast(spark.createDataFrame(list(REGION_NAMES), "code int, canonical string, dirty string"))
@@ -35,7 +41,7 @@ def cohort(spark: SparkSession, folder: str) -> DataFrame:
     """Cohort rows, one per line item, under the table names."""
     price = F.col("l_extendedprice")
     return (
-        table(spark, folder, "lineitem")
+        spread(table(spark, folder, "lineitem"), "l_orderkey")
         .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -65,7 +71,7 @@ def cohort(spark: SparkSession, folder: str) -> DataFrame:
 def macro_records(spark: SparkSession, folder: str) -> DataFrame:
     """Macro records as text, one per order."""
     return (
-        table(spark, folder, "orders")
+        spread(table(spark, folder, "orders"), "o_orderkey")
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(region_names(spark), F.col("c_nationkey") == F.col("code"))
         .select(

@@ -1,4 +1,7 @@
-"""Token-sort similarity of two texts on a 0 to 100 scale, inside the JVM."""
+"""Token-sort similarity of two texts on a 0 to 100 scale, inside the JVM.
+
+The functions take column names: these expressions nest too deeply to be built call by call.
+"""
 
 from __future__ import annotations
 
@@ -17,79 +20,42 @@ def sorted_tokens(col: Column) -> Column:
     return F.array_join(F.array_sort(words), " ")
 
 
-def characters(col: Column) -> Column:
-    return F.filter(F.split(col, ""), lambda c: c != "")
-
-
-def position_masks(col: Column) -> Column:
+def position_masks(text: str) -> Column:
     """For each character of a text of at most WORD_BITS characters, the set of its positions as bits."""
-    chars = characters(col)
-    positions = F.sequence(F.lit(1), F.size(chars))
-
-    def mask(char: Column) -> Column:
-        return F.aggregate(
-            positions,
-            F.lit(0).cast("long"),
-            lambda bits, i: F.when(
-                F.get(chars, i - 1) == char,
-                bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i - 1)),
-            ).otherwise(bits),
-        )
+    return F.expr(f"""
+        CASE WHEN length({text}) BETWEEN 1 AND {WORD_BITS} THEN
+            map_from_entries(transform(
+                array_distinct(split({text}, '')),
+                c -> struct(c, aggregate(
+                    sequence(1, length({text})), 0L,
+                    (bits, i) -> IF(substring({text}, i, 1) = c, bits | shiftleft(1L, i - 1), bits)))))
+        END""")
 
-    fits = F.length(col).between(1, WORD_BITS)
-    return F.when(
-        fits, F.map_from_entries(F.transform(F.array_distinct(chars), lambda c: F.struct(c, mask(c))))
-    )
 
-
-def _common_by_bits(chars: Column, masks: Column, length: Column) -> Column:
+def _common_by_bits(left: str, right: str, masks: str) -> str:
     """Longest common subsequence, one step per character: a cleared bit marks a matched position."""
-    ones = F.call_function("shiftleft", F.lit(1).cast("long"), length) - 1
-
-    def step(state: Column, char: Column) -> Column:
-        mask = F.coalesce(masks[char], F.lit(0).cast("long"))
-        hit = state.bitwiseAND(mask)
-        return (state + hit).bitwiseOR(state - hit).bitwiseAND(ones)
-
-    return length - F.bit_count(F.aggregate(chars, ones, step))
+    ones = f"(shiftleft(1L, length({right})) - 1L)"
+    hit = f"(state & coalesce({masks}[c], 0L))"
+    return f"""length({right}) - bit_count(aggregate(
+        split({left}, ''), {ones}, (state, c) -> ((state + {hit}) | (state - {hit})) & {ones}))"""
 
 
-def _common_by_rows(left: Column, right: Column) -> Column:
+def _common_by_rows(left: str, right: str) -> str:
     """Longest common subsequence of texts of any length, one table row per character."""
-    width = F.size(right)
-
-    def next_row(row: Column, char: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), width),
-            F.array(F.lit(0)),
-            lambda done, j: F.concat(
-                done,
-                F.array(
-                    F.when(F.get(right, j - 1) == char, F.get(row, j - 1) + 1).otherwise(
-                        F.greatest(F.get(row, j), F.get(done, j - 1))
-                    )
-                ),
-            ),
-        )
-
-    return F.element_at(F.aggregate(left, F.array_repeat(F.lit(0), width + 1), next_row), -1)
-
-
-def indel_ratio(left: Column, right: Column, right_masks: Column | None = None) -> Column:
-    """100 · 2·LCS / (sum of lengths). ``right_masks`` may carry masks computed once per right text."""
-    masks = position_masks(right) if right_masks is None else right_masks
-    n_left, n_right = F.length(left), F.length(right)
-    common = (
-        F.when((n_left == 0) | (n_right == 0), F.lit(0))
-        .when(n_right <= WORD_BITS, _common_by_bits(characters(left), masks, n_right))
-        .otherwise(_common_by_rows(characters(left), characters(right)))
-    )
-    return (
-        F.when(left.isNull() | right.isNull(), F.lit(None).cast("double"))
-        .when(n_left + n_right == 0, F.lit(100.0))
-        .otherwise(200.0 * common / (n_left + n_right))
-    )
-
-
-def token_sort_ratio(left: Column, right: Column) -> Column:
-    return indel_ratio(sorted_tokens(left), sorted_tokens(right))
+    return f"""element_at(aggregate(
+        split({left}, ''), array_repeat(0, length({right}) + 1),
+        (row, c) -> aggregate(
+            sequence(1, length({right})), array(0),
+            (done, j) -> array_append(done,
+                IF(substring({right}, j, 1) = c, get(row, j - 1) + 1, greatest(get(row, j), get(done, j - 1)))))), -1)"""
+
+
+def indel_ratio(left: str, right: str, masks: str) -> Column:
+    """100 · 2·LCS / (sum of lengths) of two columns; ``masks`` holds the position masks of the right one."""
+    return F.expr(f"""
+        CASE WHEN {left} IS NULL OR {right} IS NULL THEN NULL
+             WHEN {left} = '' AND {right} = '' THEN 100.0D
+             WHEN {left} = '' OR {right} = '' THEN 0.0D
+             WHEN length({right}) <= {WORD_BITS}
+             THEN 200.0D * ({_common_by_bits(left, right, masks)}) / (length({left}) + length({right}))
+             ELSE 200.0D * ({_common_by_rows(left, right)}) / (length({left}) + length({right})) END""")

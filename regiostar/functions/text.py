@@ -6,7 +6,6 @@ import sys
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +13,12 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\s\x1c-\x1f]"
 _SPACES = "".join(chr(code) for code in range(sys.maxunicode + 1) if chr(code).isspace())
 
+# Korean syllables decompose by arithmetic: leading consonant, vowel and, unless the remainder is 0, a final consonant.
+_SYLLABLES = (0xAC00, 0xD7A3)
+_LEADS = "".join(chr(0x1100 + i) for i in range(19))
+_VOWELS = "".join(chr(0x1161 + i) for i in range(21))
+_FINALS = "".join(chr(0x11A8 + i) for i in range(27))
+
 
 def strip(col: Column) -> Column:
     """Drop white space of any kind at both ends (a plain ``trim`` would only drop blanks)."""
@@ -28,52 +33,48 @@ def drop_thousands(col: Column) -> Column:
     return F.replace(col, F.lit(","), F.lit(""))
 
 
-def _without_marks(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn")
-
-
 @lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str]:
-    """Characters whose decomposition has one base character, and those bases.
+def _accent_tables() -> tuple[str, str, dict[str, str]]:
+    """Characters with one base character and those bases, and the few others with several.
 
-    ``translate`` deletes characters beyond the end of the second string, so the marks come last.
+    ``translate`` deletes characters beyond the end of the second text, so the marks come last.
     """
-    accented, bases, marks = [], [], []
+    accented, bases, marks, several = [], [], [], {}
     for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
-        plain = _without_marks(char)
-        if plain == char:
+        parts = unicodedata.normalize("NFD", char)
+        plain = "".join(c for c in parts if unicodedata.category(c) != "Mn")
+        if plain == char or _SYLLABLES[0] <= code <= _SYLLABLES[1]:
             continue
-        if plain == "":
+        if not plain:
             marks.append(char)
         elif len(plain) == 1:
             accented.append(char)
             bases.append(plain)
-    return "".join(accented) + "".join(marks), "".join(bases)
-
-
-def _strip_marks(col: Column) -> Column:
-    # Defined inside, so that it travels to executors by value and needs no package there.
-    @F.pandas_udf("string")
-    def decompose(texts: pd.Series) -> pd.Series:
-        import unicodedata
-
-        def plain(text):
-            return "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn")
+        else:
+            several[char] = plain
+    return "".join(accented) + "".join(marks), "".join(bases), several
 
-        return texts.map(plain, na_action="ignore")
 
-    return decompose(col)
+def _decomposed(char: Column, several: dict[str, str]) -> Column:
+    index = F.ascii(char) - _SYLLABLES[0]
+    syllable = F.concat(
+        F.substring(F.lit(_LEADS), F.floor(index / 588).cast("int") + 1, F.lit(1)),
+        F.substring(F.lit(_VOWELS), F.floor(index % 588 / 28).cast("int") + 1, F.lit(1)),
+        F.when(index % 28 > 0, F.substring(F.lit(_FINALS), index % 28, F.lit(1))).otherwise(""),
+    )
+    others = F.map_from_arrays(F.lit(list(several)), F.lit(list(several.values())))
+    is_syllable = char.between(chr(_SYLLABLES[0]), chr(_SYLLABLES[1]))
+    return F.when(is_syllable, syllable).otherwise(F.coalesce(others[char], char))
 
 
-def strip_accents(col: Column, full: bool = False) -> Column:
+def strip_accents(col: Column) -> Column:
     """Decompose and drop combining marks, for comparison only.
 
-    The default is a JVM expression for all characters with a single base (every accented Latin, Greek
-    or Cyrillic letter). ``full`` also splits characters with several bases, such as Hangul
-    syllables; it goes through Arrow and is meant for short lists of distinct names.
+    ``translate`` handles every character with a single base. Texts with characters of several bases, such as Korean
+    syllables, are first taken apart character by character.
     """
-    if full:
-        return _strip_marks(col)
-    accented, bases = _accent_table()
-    return F.translate(col, accented, bases)
+    accented, bases, several = _accent_tables()
+    with_several = f"[{chr(_SYLLABLES[0])}-{chr(_SYLLABLES[1])}{''.join(several)}]"
+    apart = F.array_join(F.transform(F.split(col, ""), lambda c: _decomposed(c, several)), "")
+    return F.translate(F.when(col.rlike(with_several), apart).otherwise(col), accented, bases)

@@ -8,7 +8,7 @@ only pairs that share one are scored. No pair at or above the threshold is lost.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiostar import schema
@@ -16,69 +16,61 @@ from regiostar.functions.similarity import indel_ratio, position_masks, sorted_t
 from regiostar.functions.text import standardise, strip_accents
 
 
-def _edits(threshold: float, total: Column) -> Column:
-    """Most edits that a pair with this sum of lengths may have; the margin absorbs rounding."""
-    return F.floor((100.0 - threshold) / 100.0 * total + 1e-6).cast("int")
+def _segments(texts: DataFrame, own: str, partner: str, threshold: float) -> DataFrame:
+    """One row per text, partner length and segment of the target text: its one-based start, and its size.
 
-
-def _with_partner_lengths(texts: DataFrame, threshold: float, own: str, partner: str) -> DataFrame:
-    """One row per text and partner length that the threshold allows, with the edits allowed."""
-    shortest = F.ceil(F.col(own) * threshold / (200.0 - threshold) - 1e-6).cast("int")
-    longest = F.floor(F.col(own) * (200.0 - threshold) / threshold + 1e-6).cast("int")
-    return texts.withColumn(partner, F.explode(F.sequence(shortest, longest))).withColumn(
-        "edits", _edits(threshold, F.col("target_length") + F.col("source_length"))
-    )
-
-
-def _with_segments(texts: DataFrame) -> DataFrame:
-    """Number, one-based start and length of the edits + 1 near-equal segments of the target text."""
-    parts = F.col("edits") + 1
-    length = F.col("target_length")
-    start = F.floor(F.col("segment") * length / parts).cast("int")
-    end = F.floor((F.col("segment") + 1) * length / parts).cast("int")
+    The margins absorb rounding, in favour of keeping a pair.
+    """
+    shrink, spare = threshold / (200.0 - threshold), (100.0 - threshold) / 100.0
+    shortest = f"cast(ceil({own} * {shrink!r}D - 1e-6D) AS int)"
+    longest = f"cast(floor({own} / {shrink!r}D + 1e-6D) AS int)"
     return (
-        texts.withColumn("segment", F.explode(F.sequence(F.lit(0), F.col("edits"))))
-        .withColumn("start", start + 1)
-        .withColumn("size", end - start)
+        texts.selectExpr("*", f"explode(sequence({shortest}, {longest})) AS {partner}")
+        .selectExpr("*", f"cast(floor({spare!r}D * (source_length + target_length) + 1e-6D) AS int) AS edits")
+        .selectExpr("*", "explode(sequence(0, edits)) AS segment")
+        .selectExpr(
+            "*",
+            "cast(floor(segment * target_length / (edits + 1)) AS int) + 1 AS start",
+            "cast(floor((segment + 1) * target_length / (edits + 1)) AS int)"
+            " - cast(floor(segment * target_length / (edits + 1)) AS int) AS size",
+        )
     )
 
 
 def candidate_pairs(sources: DataFrame, targets: DataFrame, threshold: float) -> DataFrame:
     """Distinct (source, target) texts that share a segment. Inputs have one column of distinct texts each."""
-    left = sources.withColumn("source_length", F.length("source"))
-    left = _with_segments(_with_partner_lengths(left, threshold, "source_length", "target_length"))
-    surplus = F.col("source_length") - F.col("target_length")
-    back = F.floor((F.col("edits") - surplus) / 2).cast("int")
-    ahead = F.floor((F.col("edits") + surplus) / 2).cast("int")
-    last = F.col("source_length") - F.col("size") + 1
-    starts = F.sequence(F.greatest(F.lit(1), F.col("start") - back), F.least(last, F.col("start") + ahead))
-    possible = (back >= 0) & (ahead >= 0) & (F.greatest(F.lit(1), F.col("start") - back) <= F.least(last, F.col("start") + ahead))
+    block = ["source_length", "target_length", "segment", "piece"]
+    left = _segments(
+        sources.selectExpr("source", "length(source) AS source_length"), "source_length", "target_length", threshold
+    )
+    # A surplus of inserted over deleted characters is fixed by the lengths; that limits the shift each way.
     left = (
-        left.filter(possible)
-        .withColumn("at", F.explode(starts))
-        .withColumn("piece", F.substring("source", F.col("at"), F.col("size")))
-        .select("source", "source_length", "target_length", "segment", "piece")
+        left.selectExpr(
+            "*",
+            "floor((edits - (source_length - target_length)) / 2) AS back",
+            "floor((edits + (source_length - target_length)) / 2) AS ahead",
+        )
+        .selectExpr(
+            "*",
+            "cast(greatest(1, start - back) AS int) AS first",
+            "cast(least(source_length - size + 1, start + ahead) AS int) AS last",
+        )
+        .filter("back >= 0 AND ahead >= 0 AND first <= last")
+        .selectExpr("source", "source_length", "target_length", "segment", "size", "explode(sequence(first, last)) AS at")
+        .selectExpr("source", "source_length", "target_length", "segment", "substring(source, at, size) AS piece")
         .distinct()
     )
-    right = targets.withColumn("target_length", F.length("target"))
-    right = (
-        _with_segments(_with_partner_lengths(right, threshold, "target_length", "source_length"))
-        .withColumn("piece", F.substring("target", F.col("start"), F.col("size")))
-        .select("target", "source_length", "target_length", "segment", "piece")
-    )
-    block = ["source_length", "target_length", "segment", "piece"]
+    right = _segments(
+        targets.selectExpr("target", "length(target) AS target_length"), "target_length", "source_length", threshold
+    ).selectExpr("target", "source_length", "target_length", "segment", "substring(target, start, size) AS piece")
     return left.join(right, block).select("source", "target").distinct()
 
 
 def normalised_names(names: DataFrame, column: str, upper: bool) -> DataFrame:
     """Distinct non-null names with the text they are compared by."""
     cleaned = standardise(F.col(column)) if upper else F.col(column)
-    return (
-        names.select(F.col(column).cast("string").alias(column))
-        .filter(F.col(column).isNotNull())
-        .distinct()
-        .withColumn("text", sorted_tokens(strip_accents(cleaned, full=True)))
-    )
+    distinct = names.select(F.col(column).cast("string").alias(column)).dropna().distinct()
+    return distinct.select(column, sorted_tokens(strip_accents(cleaned)).alias("text"))
 
 
 def best_matches(sources: DataFrame, targets: DataFrame, threshold: float) -> DataFrame:
@@ -87,16 +79,14 @@ def best_matches(sources: DataFrame, targets: DataFrame, threshold: float) -> Da
     ``sources`` has a column ``source``; ``targets`` has ``target`` and its ``canonical`` name.
     """
     pairs = candidate_pairs(sources, targets.select("target"), threshold)
-    known = targets.withColumn("masks", position_masks(F.col("target")))
-    scored = pairs.join(known, "target").withColumn(
-        "score", indel_ratio(F.col("source"), F.col("target"), F.col("masks"))
-    )
+    known = targets.select("target", "canonical", position_masks("target").alias("masks"))
+    scored = pairs.join(known, "target").select("source", "canonical", indel_ratio("source", "target", "masks").alias("score"))
     best = F.min(F.struct((-F.col("score")).alias("worst_first"), F.col("canonical").alias("canonical")))
     return (
         scored.filter(F.col("score") >= threshold)
         .groupBy("source")
         .agg(best.alias("best"))
-        .select("source", F.col("best.canonical").alias("canonical"), (-F.col("best.worst_first")).alias("score"))
+        .selectExpr("source", "best.canonical AS canonical", "-best.worst_first AS score")
     )
 
 
@@ -131,7 +121,6 @@ def apply_mapping(df: DataFrame, column: str, mapping: DataFrame, name: str) ->
 
 def with_name_score(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
     """Token-sort score of two columns, row by row; each derived text is computed once."""
-    texts = df.withColumns({"_left": sorted_tokens(F.col(left)), "_right": sorted_tokens(F.col(right))})
-    masked = texts.withColumn("_masks", position_masks(F.col("_right")))
-    scored = masked.withColumn(name, indel_ratio(F.col("_left"), F.col("_right"), F.col("_masks")))
-    return scored.drop("_left", "_right", "_masks")
+    texts = df.select("*", sorted_tokens(F.col(left)).alias("_left"), sorted_tokens(F.col(right)).alias("_right"))
+    masked = texts.select("*", position_masks("_right").alias("_masks"))
+    return masked.select(*df.columns, indel_ratio("_left", "_right", "_masks").alias(name))

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from regiostar import schema
@@ -14,6 +15,7 @@ from regiostar.session import materialize
 from regiostar.sources.columns import require_columns
 
 _SET = "_set"
+_NUMBER = "_number"
 
 
 def _set_number(names: Sequence[str], dimension: schema.Dimension) -> int:
@@ -46,14 +48,34 @@ def set_sizes(grouped: DataFrame) -> dict[str, int]:
     return {d.table: sizes.get(_set_number(names, d), 0) for d in schema.DIMENSIONS}
 
 
-def new_dimensions(cohort: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> dict[str, DataFrame]:
-    """Dimensions numbered 1..n in natural key order; null keys are members like any other."""
-    grouped = grouped_members(cohort)
+def number_all(
+    grouped: DataFrame, after: Mapping[str, int], single_task_rows: int = SINGLE_TASK_ROWS
+) -> dict[str, DataFrame]:
+    """Members of all dimensions that have any, numbered after the given keys in natural key order.
+
+    Small sets are numbered together, one task per dimension, and written once. Larger ones are numbered by parts.
+    """
     sizes = set_sizes(grouped)
-    return {
-        d.table: number_rows(members_of(grouped, d), d.names, d.key, 0, single_task_rows, sizes[d.table])
+    names = _member_names(schema.DIMENSIONS)
+    small = [d for d in schema.DIMENSIONS if 0 < sizes[d.table] <= single_task_rows]
+    numbered = {
+        d.table: number_rows(members_of(grouped, d), d.names, d.key, after[d.table], 0, sizes[d.table])
         for d in schema.DIMENSIONS
+        if sizes[d.table] > single_task_rows
     }
+    if small:
+        sets = [_set_number(names, d) for d in small]
+        number = F.row_number().over(W.partitionBy(_SET).orderBy(*names))
+        together = materialize(grouped.filter(F.col(_SET).isin(sets)).select("*", number.alias(_NUMBER)), "numbered")
+        for d in small:
+            key = (F.col(_NUMBER) + F.lit(after[d.table])).cast("int").alias(d.key)
+            numbered[d.table] = together.filter(F.col(_SET) == _set_number(names, d)).select(key, *d.names)
+    return numbered
+
+
+def new_dimensions(cohort: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> dict[str, DataFrame]:
+    """Dimensions numbered 1..n in natural key order; null keys are members like any other."""
+    return number_all(grouped_members(cohort), {d.table: 0 for d in schema.DIMENSIONS}, single_task_rows)
 
 
 def absent_members(members: DataFrame, existing: DataFrame, dimension: schema.Dimension) -> DataFrame:
@@ -85,14 +107,7 @@ def upsert_members(
         others = [F.lit(None).cast(grouped.schema[n].dataType).alias(n) for n in names if n not in d.names]
         absent.append(rows.select(*d.names, *others, F.lit(_set_number(names, d)).cast("long").alias(_SET)))
     fresh = materialize(reduce(DataFrame.unionByName, absent), "new-members")
-    sizes, largest = set_sizes(fresh), largest_keys(existing)
-    return {
-        d.table: number_rows(
-            members_of(fresh, d), d.names, d.key, largest[d.table], single_task_rows, sizes[d.table]
-        )
-        for d in schema.DIMENSIONS
-        if sizes[d.table]
-    }
+    return number_all(fresh, largest_keys(existing), single_task_rows)
 
 
 def lookup_keys(cohort: DataFrame, dimensions: Mapping[str, DataFrame], null_safe: bool) -> DataFrame:
