@@ -15,7 +15,7 @@ from regiostar.session import build_session
 
 HEADLINE = (
     "credit_mart", "csv_extract", "macro_extract", "cleaned_cohort", "typed_columns", "inferred_types",
-    "fuzzy_mapping", "part_name_mapping", "macro_annual", "merged_macro", "surrogate_keys", "resolved_fact", "star_join",
+    "fuzzy_mapping", "part_name_mapping", "merged_macro", "surrogate_keys", "star_join",
     "year_replacement", "region_totals", "share_change", "null_report", "yearly_trend", "outlier_report", "description",
     "duplicate_rows", "quality_rules", "yearly_sector_shares",
 )
@@ -31,7 +31,7 @@ def run(query, spark, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     spark = build_session(f"local[{cpus}]", int(cpus), **{"spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
