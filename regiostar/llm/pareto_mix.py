@@ -30,6 +30,7 @@ from regiostar.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 CELLS = 4096
+WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), Fraction(3, 2), 2, 17
 WHOLE = "decimal(38,0)"
 
 
@@ -75,54 +76,81 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: Fraction,
     return shared.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), most: int = 2, seed: int = 17) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies: what the mix takes of every document."""
+def _drawn(docs: DataFrame, seed: int, *columns: Column) -> DataFrame:
+    """source, size, class, u and the given columns of every document."""
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", F.coalesce(F.col("text"), F.lit(""))), 11)
     words = size(F.col("text"))
-    sized = materialize(
-        docs.select("doc_id", "source", words.alias("size"), importance(words).alias("class"), ((drawn + 0.5) / 2.0**53).alias("u")), "sized"
-    )
+    return docs.select(*columns, "source", words.alias("size"), importance(words).alias("class"), ((drawn + 0.5) / 2.0**53).alias("u"))
+
+
+def _ranked(drawn: DataFrame, rates: DataFrame) -> DataFrame:
+    """Adds the rates of source and class, the ratio of odds, and the cell of the ranking."""
+    odds = (F.col("u") / (1 - F.col("u"))) * F.try_divide(1 - F.col("p"), F.col("p"))
+    rows = drawn.withColumn("key", _key()).join(rates, ["key", "class"])
+    rows = rows.withColumn("odds", F.when((F.col("p") > 0) & (F.col("size") > 0), odds))
+    return rows.withColumn("cell", F.floor(F.col("odds") / (1 + F.col("odds")) * CELLS).cast("int"))
+
+
+def _key() -> Column:
+    return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
+
+
+def _plan(sized: DataFrame, weights: tuple[int, ...], share: Fraction, most: int) -> tuple[DataFrame, DataFrame]:
+    """Rates per source and class, and where each source's ranking is cut; ``sized`` is a written table with doc_id."""
     classes = materialize(sized.groupBy("source", "class").agg(F.sum("size").alias("class_size")), "classes")
     sources = source_targets(classes.groupBy("source").agg(F.sum("class_size").alias("source_size")), weights, share, most)
-    sources = materialize(sources.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))), "sources")
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")).alias("key")
+    sources = materialize(sources.withColumn("key", _key()), "sources")
 
     # Rates of the classes of a source: in proportion to the class, at most ``most`` copies, meeting the target in words.
-    rated = classes.select(key, "class", "class_size").join(sources.select("key", "source_size", "target"), "key")
+    rated = classes.select(_key().alias("key"), "class", "class_size").join(sources.select("key", "source_size", "target"), "key")
     rated = rated.withColumn("weight", F.col("class_size") * F.col("class")).withColumn("ceiling", F.col("class_size") * most)
     shared = levels(rated, ["key"], F.floor("target"), "weight", "ceiling")
     rate = F.when(F.col("_full") | (F.col("den") <= 0), F.lit(float(most))).otherwise(
         F.try_divide(F.col("class") * F.col("num").cast("double"), F.col("den").cast("double"))
     )
-    rates = shared.select("key", "class", "source_size", "target", F.least(rate, F.lit(float(most))).alias("rate"))
+    rates = shared.select("key", "class", "class_size", "source_size", "target", F.least(rate, F.lit(float(most))).alias("rate"))
     rates = rates.withColumn("certain", F.floor("rate")).withColumn("p", F.col("rate") - F.col("certain"))
-    whole = rates.join(shared.select("key", "class", "class_size"), ["key", "class"]).groupBy("key").agg(
-        (F.max("target") - F.sum(F.col("certain") * F.col("class_size"))).alias("left")
-    )
-    rates = materialize(rates.join(whole, "key"), "rates")
-
-    u, p = F.col("u"), F.col("p")
-    odds = (u / (1 - u)) * F.try_divide(1 - p, p)
-    rows = (
-        sized.select(key, "doc_id", "size", "class", "u").join(rates, ["key", "class"])
-        .withColumn("odds", F.when((p > 0) & (F.col("size") > 0), odds))
-        .withColumn("cell", F.floor(F.col("odds") / (1 + F.col("odds")) * CELLS).cast("int"))
-    )
+    whole = rates.groupBy("key").agg((F.max("target") - F.sum(F.col("certain") * F.col("class_size"))).alias("left"))
+    rates = materialize(rates.drop("class_size", "rate").join(whole, "key"), "rates")
+
     # Words per cell; the cut lies in the first cell at which the cumulated words reach what is left.
-    cells = rows.where("odds is not null").groupBy("key", "cell").agg(F.sum("size").alias("words"), F.max("left").alias("left"))
+    rows = _ranked(sized, rates).where("odds is not null")
+    cells = rows.groupBy("key", "cell").agg(F.sum("size").alias("words"), F.max("left").alias("left"))
     before = F.sum("words").over(Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
     cells = cells.withColumn("before", F.coalesce(before, F.lit(0)))
     cut = materialize(cells.where("before < left and before + words >= left").select("key", F.col("cell").alias("cut"), "before"), "cuts")
     # The documents of the cut's cell in order; a document belongs to the sample if that brings the words nearer.
-    inside = rows.where("odds is not null").join(cut, "key").where("cell = cut")
+    inside = rows.join(cut, "key").where("cell = cut")
     order = Window.partitionBy("key").orderBy("odds", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = F.col("before") + F.sum("size").over(order)
     edge = inside.withColumn("taken_here", reached - F.col("size") / 2 <= F.col("left"))
     edge = edge.groupBy("key").agg(F.max(F.when(F.col("taken_here"), F.struct("odds", "doc_id", "size"))).alias("last"))
-    marks = materialize(cut.join(edge, "key").select("key", "cut", "last"), "marks")
+    return rates, materialize(cut.join(edge, "key").select("key", "cut", "last"), "marks")
+
+
+def _copies(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Adds the number of copies the mix takes."""
     rows = rows.join(marks, "key", "left")
-    at = F.struct("odds", "doc_id", "size")
     sampled = F.when(F.col("odds").isNull(), False).when(F.col("cut").isNull(), F.col("left") > 0).when(F.col("cell") != F.col("cut"), F.col("cell") < F.col("cut"))
-    sampled = sampled.otherwise(F.coalesce(at <= F.col("last"), F.lit(False)))
-    copies = F.when(F.col("size") > 0, F.col("certain") + sampled.cast("long")).otherwise(0).cast("long")
-    return rows.select("doc_id", "size", F.col("source_size"), "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))
+    sampled = sampled.otherwise(F.coalesce(F.struct("odds", "doc_id", "size") <= F.col("last"), F.lit(False)))
+    return rows.withColumn("copies", F.when(F.col("size") > 0, F.col("certain") + sampled.cast("long")).otherwise(0).cast("long"))
+
+
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    return materialize(_drawn(docs, seed, F.col("doc_id")), "sized")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies: what the mix takes of every document."""
+    sized = _sized(docs, seed)
+    rates, marks = _plan(sized, weights, share, most)
+    found = _copies(_ranked(sized, rates), marks)
+    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs``, all columns as they were, each as often as the mix takes it."""
+    rates, marks = _plan(_sized(docs, seed), weights, share, most)
+    drawn = _drawn(docs, seed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"))
+    found = _copies(_ranked(drawn, rates), marks).where("copies > 0")
+    return found.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

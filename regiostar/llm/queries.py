@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiostar.llm import block_topk, html_consensus, pareto_mix, spaced_seeds, token_files, toxic_segments, unit_dedup, url_templates
+from regiostar.llm import (
+    block_topk,
+    collection_bwt,
+    html_consensus,
+    pareto_mix,
+    spaced_seeds,
+    token_files,
+    toxic_segments,
+    unit_dedup,
+    url_templates,
+    weighted_minhash,
+)
 from regiostar.llm.common import table
 
 RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
@@ -39,8 +50,19 @@ def op5_toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_passages", F.size("passages").cast("long"))
 
 
+def op6_collection_bwt(spark: SparkSession, folder: str) -> DataFrame:
+    return collection_bwt.digested(collection_bwt.without_repeats(table(spark, folder, "documents")))
+
+
+def op7_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = weighted_minhash.classes(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "class_size", (F.col("row") == F.col("keeper")).alias("kept"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return unit_dedup.dedup(table(spark, folder, "documents"))
+    found = unit_dedup.dedup(table(spark, folder, "documents"))
+    spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+    return found.withColumn("removed", F.array_join(spans, ","))
 
 
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,7 +77,7 @@ def op10_block_topk(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_url_templates, op2_html_consensus, op3_spaced_seeds, op4_pareto_mix, op5_toxic_segments, op8_line_dedup, op9_token_files,
-        op10_block_topk,
+        op1_url_templates, op2_html_consensus, op3_spaced_seeds, op4_pareto_mix, op5_toxic_segments, op6_collection_bwt,
+        op7_weighted_minhash, op8_line_dedup, op9_token_files, op10_block_topk,
     )
 }

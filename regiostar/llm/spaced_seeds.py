@@ -197,5 +197,5 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a verified overlap, all columns as they were."""
-    tainted = materialize(overlaps(docs, items).select(F.col("doc_id").alias("tainted_id")).distinct(), "tainted")
-    return docs.join(tainted, F.col("doc_id") == F.col("tainted_id"), "left_anti")
+    tainted = materialize(overlaps(docs, items).select(F.col("doc_id").alias("_tainted_id")).distinct(), "tainted")
+    return docs.join(tainted, F.col("doc_id") == F.col("_tainted_id"), "left_anti")

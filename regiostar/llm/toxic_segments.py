@@ -276,3 +276,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
     found = scored(docs, fit(docs, labels, sample))
     held_out = F.coalesce(crc_class(F.col("doc_id")) == HELD_OUT, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "passages")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, all columns as they were."""
+    model, place = fit(docs, labels, sample), docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordScores(model.odds)
+        for batch in batches:
+            clean = []
+            for value in batch.column(place):
+                weights = np.array([known[w] for w in words(value.as_py())])
+                best = max((s for _, _, s in segments(weights)), default=0.0)
+                clean.append(model.score_of(_evidence(model, len(weights), best)) < threshold)
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

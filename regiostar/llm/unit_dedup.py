@@ -7,7 +7,7 @@ their offsets in the original text retained. Grouping is a minimum per digest, c
 shuffle, so a line that a third of all documents share costs one row per task.
 
 Defined results: a null text counts as empty; rows with a null id come last in rank; rows that share an id are ranked
-by their text's hash, exact repeats of a row are one document and give one row; short units and empty lines stay; an
+by their text's hash, rows that repeat id and text are one document and get the same result each; short units and empty lines stay; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -28,8 +28,8 @@ def normalised(unit: Column) -> Column:
 
 def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, n_units, n_removed, removed (array of start, end in characters), kept_text."""
-    texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["doc_id", "text"])
-    named = texts.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    text = F.coalesce("text", F.lit(""))
+    named = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
     unit = F.col("unit")
     units = named.select("doc_id", "h", F.split("text", "\n").alias("units"))
     lines = F.transform(units["units"], normalised)
