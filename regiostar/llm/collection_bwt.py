@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiostar.llm.common import filter_bits, key_filter, mixed, passes
+from regiostar.llm.common import filter_bits, key_filter, mixed, passes, small_batches
 from regiostar.session import materialize
 
 LENGTH, GRAM = 100, 32
@@ -336,6 +336,7 @@ def removed_spans(parts: list[dict] | None) -> list[tuple[int, int]]:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (start, end in bytes), kept (the remaining bytes) of every row of ``docs``."""
+    small_batches(docs.sparkSession)
     data = named(docs)
     parts = covered(data)
     joined = docs.select("doc_id", *_keys()).join(

@@ -16,6 +16,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let whole texts travel to Python workers a thousand at a time, unless the session chose a smaller number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    chosen = int(spark.conf.get(name))
+    if chosen <= 0 or chosen > rows:
+        spark.conf.set(name, str(rows))
+
+
 def words(text: str | None) -> list[str]:
     """Lower-cased runs of letters, digits and underscores."""
     return WORD.findall(text.lower()) if text else []

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regiostar.llm.common import small_batches
 from regiostar.llm.url_templates import host_of
 from regiostar.session import materialize
 
@@ -258,6 +259,7 @@ def winners(pages: DataFrame) -> DataFrame:
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, host_path of every page."""
+    small_batches(pages.sparkSession)
     chosen = materialize(winners(pages), "host-paths")
     known = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     joined = known.join(chosen, "host", "left").select("page_id", "url", "html", "winner")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiostar.llm.common import WordHashes, filter_bits, key_filter, mixed, passes, words
+from regiostar.llm.common import WordHashes, filter_bits, key_filter, mixed, passes, small_batches, words
 from regiostar.session import materialize
 
 MASKS = ("11101100101", "1101000111011", "10110111001011")
@@ -156,6 +156,7 @@ def overlap(document: np.ndarray, start: int, item: np.ndarray, diagonal: int) -
 
 def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, n_same, first_word, last_word: the largest verified overlap of every pair that has one."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     seeds = materialize(benchmark_seeds(items), "benchmark-seeds")
     shapes = sorted(r.shape for r in seeds.select("shape").distinct().toLocalIterator())  # at most len(SHAPES)

@@ -31,21 +31,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from regiostar.llm.common import small_batches
 from regiostar.session import fresh_path
 
 END_ID = 2
 #: White space on both sides of a blank: only there may a token reach over the blank.
 AMBIGUOUS = re.compile(r"\s \s")
-CACHE = 300_000
+CLOSING = ".,;:!?"
+CACHE = 150_000
 READ_IDS = 1 << 20
 
 
+class ByteLetters(dict):
+    """For ``str.translate``: what the tokenizer's byte-level step makes of a character, asked once each."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.step = tokenizer.pre_tokenizer.pre_tokenize_str
+
+    def __missing__(self, code: int) -> str:
+        self[code] = found = "".join(piece for piece, _ in self.step(chr(code)))
+        return found
+
+
 class UnitEncoder:
-    """Encodes texts blank by blank, with the tokenizer asked once per distinct unit.
+    """Encodes texts blank by blank, with the tokenizer's merges run once per distinct word.
 
     The byte-level pattern always starts a new piece at a blank unless white space stands on both sides of it, and
-    merges stay inside pieces, so the ids of "word" and " word" units, joined, are the ids of the text. Texts with an
-    ambiguous blank or the text of a special token go to the tokenizer whole.
+    merges stay inside pieces, so the ids of "word" and " word" units, joined, are the ids of the text. A unit of
+    letters, or letters and closing marks, consists of known pieces, which go to the merges directly; any other unit
+    goes to the tokenizer. Texts with an ambiguous blank or the text of a special token go to the tokenizer whole.
+    Units are remembered in two generations of at most ``CACHE`` each.
     """
 
     def __init__(self, tokenizer_file: str, dtype: str):
@@ -53,25 +69,44 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = ByteLetters(self.tokenizer)
         self.dtype = dtype
         self.units: dict[str, bytes] = {}
-
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        self.older: dict[str, bytes] = {}
+
+    def _packed(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = np.array([t.id for t in self.merge(piece.translate(self.letters))], self.dtype).tobytes()
+        self.units[piece] = found
+        return found
+
+    def _unit(self, unit: str) -> bytes:
+        found = self.older.get(unit)
+        if found is None:
+            core = unit.rstrip(CLOSING)
+            if core[core[:1] == " " :].isalpha():
+                found = self.units.get(core) or self._piece(core)
+                if len(core) < len(unit):
+                    tail = unit[len(core) :]
+                    found += self.units.get(tail) or self._piece(tail)
+            else:
+                found = self._packed(unit) if unit else b""
+        self.units[unit] = found
+        return found
 
     def __call__(self, text: str) -> bytes:
         if AMBIGUOUS.search(text) or any(s in text for s in self.special):
-            return self._packed([text])[0]
+            return self._packed(text)
+        if len(self.units) > CACHE:
+            self.units, self.older = {}, self.units
+        get, unit = self.units.get, self._unit
         first, *rest = text.split(" ")
-        parts = [first, *[f" {x}" for x in rest]]
-        units = self.units
-        if len(units) > CACHE:
-            units.clear()
-        missing = list(set(parts).difference(units))
-        if missing:
-            units.update(zip(missing, self._packed(missing), strict=True))
-        return b"".join([units[x] for x in parts])
+        return b"".join([found if (found := get(x)) is not None else unit(x) for x in [first, *[" " + x for x in rest]]])
 
 
 def id_type(tokenizer_file: str, end_id: int = END_ID) -> str:
@@ -97,6 +132,7 @@ def _normal(folder: str) -> str:
 
 def write_tokens(docs: DataFrame, tokenizer_file: str, folder: str, end_id: int = END_ID, parts: int | None = None) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into a token set below ``folder``; returns a row per part: part, docs, tokens, base."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     folder, dtype = _normal(folder), id_type(tokenizer_file, end_id)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))

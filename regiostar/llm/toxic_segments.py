@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiostar.llm.common import WORD, crc_class, words
+from regiostar.llm.common import WORD, crc_class, small_batches, words
 from regiostar.session import materialize
 
 SAMPLE = 40_000
@@ -202,6 +202,7 @@ def _evidence(model: Model, n: int, best: float) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    small_batches(docs.sparkSession)
     rows = labelled_sample(docs, labels, sample)
     size = rows.where("part <> 0").agg(F.count("*"), F.sum((F.col("toxic") > 0).cast("int"))).first()
     if not size[0] or not size[1] or size[1] == size[0]:

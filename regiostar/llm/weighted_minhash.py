@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiostar.llm.common import WordHashes, mixed
+from regiostar.llm.common import WordHashes, mixed, small_batches
 from regiostar.llm.components import components
 from regiostar.session import materialize
 
@@ -236,6 +236,7 @@ def across(buckets: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, row, class_id, class_size, keeper (the row that stands for the class) of every row of ``docs``."""
+    small_batches(docs.sparkSession)
     weights = word_weights(docs)
     rows = materialize(signed(docs, weights), "signatures")
     texts = rows.where("v is not null").groupBy("v").agg(F.min(F.struct("row", "weight", "bands", "samples")).alias("x")).select("v", "x.*")
