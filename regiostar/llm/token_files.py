@@ -19,8 +19,10 @@ share an id are ordered by their text; an empty table gives a set without parts;
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,23 +67,37 @@ class UnitEncoder:
     """
 
     def __init__(self, tokenizer_file: str, dtype: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.merge = self.tokenizer.model.tokenize
-        self.letters = ByteLetters(self.tokenizer)
-        self.dtype = dtype
-        self.units: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.tokenizer_file, self.code = tokenizer_file, {"<u2": "H", "<u4": "I"}[dtype]
+        self.tokenizer = None
+
+    def opened(self) -> UnitEncoder:
+        """Ready to encode. A broadcast encoder is opened once per worker and keeps its units from task to task."""
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.tokenizer_file)
+            self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            self.merge = self.tokenizer.model.tokenize
+            self.letters = ByteLetters(self.tokenizer)
+            self.blank = self.letters[ord(" ")]
+            self.units: dict[str, bytes] = {}
+            self.older: dict[str, bytes] = {}
+        return self
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _packed(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
         found = self.older.get(piece)
         if found is None:
-            found = np.array([t.id for t in self.merge(piece.translate(self.letters))], self.dtype).tobytes()
+            letters = piece.replace(" ", self.blank) if piece.isascii() else piece.translate(self.letters)
+            found = self._bytes([t.id for t in self.merge(letters)])
         self.units[piece] = found
         return found
 
@@ -137,10 +153,12 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, folder: str, end_id: int
     folder, dtype = _normal(folder), id_type(tokenizer_file, end_id)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    shared = spark.sparkContext.broadcast(UnitEncoder(tokenizer_file, dtype))
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, mark = TaskContext.get().partitionId(), uuid.uuid4().hex
         store, root = _store(folder)
-        encode, end = UnitEncoder(tokenizer_file, dtype), np.array([end_id], dtype).tobytes()
+        encode, end = shared.value.opened(), np.array([end_id], dtype).tobytes()
         width = np.dtype(dtype).itemsize
         store.create_dir(root, recursive=True)
         names = {kind: _file(root, kind, part) for kind in ("tokens", "counts", "ids", "valid")}
