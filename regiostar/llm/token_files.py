@@ -71,7 +71,7 @@ class UnitEncoder:
         self.tokenizer = None
 
     def opened(self) -> UnitEncoder:
-        """Ready to encode. A broadcast encoder is opened once per worker and keeps its units from task to task."""
+        """Ready to encode; opened once per worker."""
         if self.tokenizer is None:
             from tokenizers import Tokenizer
 
@@ -153,12 +153,14 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, folder: str, end_id: int
     folder, dtype = _normal(folder), id_type(tokenizer_file, end_id)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    shared = spark.sparkContext.broadcast(UnitEncoder(tokenizer_file, dtype))
+    # What a worker puts into the broadcast dictionary stays there from task to task.
+    memory = spark.sparkContext.broadcast({})
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, mark = TaskContext.get().partitionId(), uuid.uuid4().hex
         store, root = _store(folder)
-        encode, end = shared.value.opened(), np.array([end_id], dtype).tobytes()
+        encode = memory.value.setdefault("encoder", UnitEncoder(tokenizer_file, dtype)).opened()
+        end = np.array([end_id], dtype).tobytes()
         width = np.dtype(dtype).itemsize
         store.create_dir(root, recursive=True)
         names = {kind: _file(root, kind, part) for kind in ("tokens", "counts", "ids", "valid")}
