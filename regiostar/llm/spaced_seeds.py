@@ -160,7 +160,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     seeds = materialize(benchmark_seeds(items), "benchmark-seeds")
     shapes = sorted(r.shape for r in seeds.select("shape").distinct().toLocalIterator())  # at most len(SHAPES)
-    bits = filter_bits(seeds.count())
+    bits = filter_bits(64 * seeds.count(), low=26)  # a stranger that passes costs a row with its surroundings
     hits = materialize(document_hits(docs, key_filter(seeds, "key", bits), shapes), "seed-hits")
     listed = hits.select("doc_id", "run", F.explode(F.arrays_zip("keys", "places")).alias("hit"))
     listed = listed.select("doc_id", "run", F.col("hit.keys").alias("key"), F.col("hit.places").alias("place"))
