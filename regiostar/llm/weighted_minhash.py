@@ -13,8 +13,8 @@ sequence are one text from the start. Candidates are then verified by the exact
 1. every text of a bucket against the bucket's smallest text, which gives components of linked texts;
 2. in every bucket with several components, the texts outside its largest component against all its texts of other
    components, block against block: samples are compared inside tasks, and only pairs that agree in at least
-   ``AGREE`` samples leave the task and are verified. No pair inside a component is ever listed, none between
-   components is left out.
+   ``AGREE`` samples leave the task. Each text's best pair with each other component is verified first, and then
+   every pair whose ends are still in different components.
 
 A class is a connected component of the verified links; its id is the smallest document id in it.
 
@@ -42,12 +42,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 SAMPLES = BANDS * ROWS
-#: At similarity 0.8 fewer agreements are as rare as one in a million.
-AGREE = 24
+#: At similarity 0.8 fewer agreements are rarer than one in ten thousand.
+AGREE = 28
 CELL_BITS = 18
 BLOCK, STRAYS = 4096, 256
 LEVELS = 1 << 16
-CHUNK = 1 << 14  # shingles sampled at a time
+CHUNK = 1 << 10  # shingles sampled at a time
 
 
 def split_words(text: str | None) -> list[str]:
@@ -113,22 +113,28 @@ class Sampler:
     def __call__(self, keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The samples as hashes of (shingle, level)."""
         best = np.full(SAMPLES, np.inf, np.float32)
-        picked = np.zeros(SAMPLES, np.uint64)
+        picked = [0] * SAMPLES
         for at in range(0, len(keys), CHUNK):
             part, logs = keys[at : at + CHUNK], np.log(weights[at : at + CHUNK])
-            for k in range(SAMPLES):
-                h = (part ^ self.seeds[k]) * np.uint64(0xD6E8FEB86659FD93)
-                h ^= h >> np.uint64(32)
-                h *= np.uint64(0xE7037ED1A0B428DB)
-                bits = h.view(np.uint16).reshape(-1, 4)
-                r, b = self.gamma[bits[:, 3]], self.beta[bits[:, 2]]
-                level = np.floor(logs / r + b)
-                rank = np.log(self.minus_log[bits[:, 1]] + self.minus_log[bits[:, 0]]) - r * (level - b + np.float32(1))
-                i = int(rank.argmin())
-                if rank[i] < best[k]:
-                    best[k] = rank[i]
-                    picked[k] = (int(part[i]) + int(level[i]) * 0x9E3779B97F4A7C15) % 2**64
-        return mixed(picked)
+            h = (part ^ self.seeds[:, None]) * np.uint64(0xD6E8FEB86659FD93)  # a row per sample
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0xE7037ED1A0B428DB)
+            bits = h.view(np.uint16).reshape(SAMPLES, -1, 4)
+            r, b = self.gamma[bits[:, :, 3]], self.beta[bits[:, :, 2]]
+            level = np.floor(logs / r + b)
+            rank = self.minus_log[bits[:, :, 1]]
+            rank += self.minus_log[bits[:, :, 0]]
+            np.log(rank, out=rank)
+            b -= level
+            b -= np.float32(1)
+            b *= r
+            rank += b
+            least = rank.argmin(axis=1)
+            for k, i in enumerate(least.tolist()):
+                if rank[k, i] < best[k]:
+                    best[k] = rank[k, i]
+                    picked[k] = (int(part[i]) + int(level[k, i]) * 0x9E3779B97F4A7C15) % 2**64
+        return mixed(np.array(picked, np.uint64))
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
@@ -205,7 +211,10 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def across(buckets: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and agree in enough samples."""
+    """Pairs (a, b, theirs, agree) of different components that share a bucket and agree in enough samples.
+
+    ``a`` lies outside the largest component of the bucket, ``theirs`` is the component of ``b``.
+    """
     member = buckets.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
     member = materialize(member, "bucket-members")
     counts = member.groupBy("key", "label").agg(F.count("*").alias("n"))
@@ -220,18 +229,19 @@ def across(buckets: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows.stray], rows[~rows.stray]
         if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": []})
+            return pd.DataFrame({c: [] for c in ("a", "b", "theirs", "agree")})
         names, theirs = right.v.to_numpy(), right.label.to_numpy()
         weight = right.weight.to_numpy()
         table = np.frombuffer(b"".join(right.samples), "<u4").reshape(-1, SAMPLES)
-        out: list[tuple[bytes, bytes]] = []
+        out: list[tuple[bytes, bytes, bytes, int]] = []
         for v, label, w, samples in zip(left.v, left.label, left.weight, left.samples, strict=True):
-            agree = (table == np.frombuffer(samples, "<u4")).sum(axis=1) >= AGREE
-            near = agree & (np.minimum(weight, w) >= SIMILARITY * np.maximum(weight, w) * (1 - 1e-9))
-            out += [(min(v, names[x]), max(v, names[x])) for x in np.flatnonzero(near) if theirs[x] != label]
-        return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
+            agree = (table == np.frombuffer(samples, "<u4")).sum(axis=1)
+            near = (agree >= AGREE) & (np.minimum(weight, w) >= SIMILARITY * np.maximum(weight, w) * (1 - 1e-9))
+            out += [(v, names[x], theirs[x], int(agree[x])) for x in np.flatnonzero(near) if theirs[x] != label]
+        return pd.DataFrame(out, columns=["a", "b", "theirs", "agree"])
 
-    return every.union(strays).groupBy("key", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
+    found = every.union(strays).groupBy("key", "i", "j").applyInPandas(compare, "a binary, b binary, theirs binary, agree int")
+    return found.dropDuplicates(["a", "b"])
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -252,7 +262,15 @@ def classes(docs: DataFrame) -> DataFrame:
     labels = components(links)
     more = materialize(across(buckets.select("key", "v"), labels, texts), "cross-pairs")
     if more.take(1):
-        labels = components(links.union(verified(more, candidates, weights)))
+        # First each text's best pair with each other component; most components are one after that.
+        best = more.groupBy("a", "theirs").agg(F.max(F.struct("agree", "b"))["b"].alias("b")).select("a", "b")
+        links = materialize(links.union(verified(best, candidates, weights)), "best-links")
+        labels = components(links)
+        ends = [labels.select(F.col("v").alias(f"{c}_v"), F.col("label").alias(f"{c}_label")) for c in "ab"]
+        apart = more.join(best, ["a", "b"], "left_anti").join(ends[0], F.col("a") == F.col("a_v"), "left").join(ends[1], F.col("b") == F.col("b_v"), "left")
+        apart = apart.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
+        links = materialize(links.union(verified(materialize(apart, "pairs-apart"), candidates, weights)), "all-links")
+        labels = components(links)
     named = rows.select("doc_id", "row", "v").join(labels, "v", "left")
     # Texts without words stay alone: their class is their row.
     label = F.coalesce("label", "v", F.unhex(F.hex(F.col("row")))).alias("label")
