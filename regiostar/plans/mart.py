@@ -87,11 +87,11 @@ def with_yearly_change(base: DataFrame) -> DataFrame:
 def with_share_change(base: DataFrame) -> DataFrame:
     """Previous rounded share, and the change of the unrounded shares, rounded last.
 
-    The difference of two fractions is taken over their common denominator, so no digits are lost.
+    Each share is divided first, with 19 decimals, so totals of any size fit. Rounding to 12 decimals before the last
+    rounding removes what the divisions left over, which keeps halves halves.
     """
-    part, whole = F.col(TOTAL).cast("decimal(18,0)"), F.col("total_depto_anio").cast("decimal(18,0)")
-    part_before, whole_before = previous(part), previous(whole)
-    change = percent(part * whole_before - part_before * whole, whole * whole_before)
+    share = F.try_divide(F.col(TOTAL).cast("decimal(19,0)"), F.nullif(F.col("total_depto_anio"), F.lit(0)).cast("decimal(19,0)"))
+    change = F.round(F.round((share - previous(share)) * 100, 12), 2)
     return base.withColumns(
         {"participacion_anterior_pct": previous("participacion_sector_pct"), "variacion_cuota_pp": change}
     )

@@ -182,3 +182,17 @@ def test_stream_loads_each_batch_once_and_the_last_one_wins(spark, warehouse, co
     land("c", (2015, 1, "OFICIAL", 1, 9))
     load_batches(spark, landing, warehouse, checkpoint)
     assert facts(warehouse) == [(2015, 9), (2016, 3)]
+
+
+def test_share_change_of_very_large_totals(spark):
+    from pyspark.sql import functions as F
+
+    from regiostar import schema
+    from regiostar.plans import mart
+
+    for scale in (1, 10**12, 10**15):
+        rows = [(2000 + y, "R", 1, s, n * scale) for y, (a, b) in enumerate([(1, 2), (2, 2), (3, 1)]) for s, n in (("A", a), ("B", b))]
+        base = spark.createDataFrame(rows, f"{schema.YEAR} int, {schema.REGION} string, {mart.CODE} int, {schema.SECTOR} string, {mart.TOTAL} long")
+        found = mart.with_region_total(base).withColumn("participacion_sector_pct", F.lit(0.0))
+        changes = mart.with_share_change(found).where(f"{schema.SECTOR} = 'A'").orderBy(schema.YEAR).collect()
+        assert [None if r.variacion_cuota_pp is None else float(r.variacion_cuota_pp) for r in changes] == [None, 16.67, 25.0]
