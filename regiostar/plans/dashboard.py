@@ -41,7 +41,7 @@ def mart_slice(
     min_change: float | None = None,
     max_change: float | None = None,
 ) -> DataFrame:
-    """Any combination of the report's slicers; year filters prune partitions of the written mart."""
+    """Any combination of the report's slicers."""
     for column, values in ((schema.YEAR, years), (schema.REGION, regions), (schema.SECTOR, sectors)):
         if values is not None:
             mart = mart.filter(F.col(column).isin(*values))
