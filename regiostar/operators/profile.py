@@ -67,9 +67,9 @@ def column_info(df: DataFrame) -> DataFrame:
     return df.agg(*counts).select(F.inline(listed))
 
 
-def yearly_pivot(df: DataFrame, year: str, column: str, measure: str, values: Sequence) -> DataFrame:
-    """Sum of the measure by year with one column per value. The values are given, so no extra job finds them."""
-    return df.groupBy(_c(year)).pivot(column, list(values)).agg(F.sum(_c(measure)))
+def yearly_pivot(df: DataFrame, year: str, column: str, measure: str, values: Sequence | None = None) -> DataFrame:
+    """Sum of the measure by year with one column per value: per value present, or per given one, which saves a job."""
+    return df.groupBy(_c(year)).pivot(column, None if values is None else list(values)).agg(F.sum(_c(measure)))
 
 
 def outlier_bound(df: DataFrame, measure: str) -> DataFrame:

@@ -154,10 +154,13 @@ def resolved_fact(
 
 
 def star_join(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Inner join of the fact with its four dimensions."""
-    rows = fact.drop(schema.YEAR)
+    """Inner join of the fact with its four dimensions.
+
+    The year is the fact's own, which names its folders, so a filter on it prunes them.
+    """
+    rows = fact
     for d in schema.DIMENSIONS:
-        rows = rows.join(dimensions[d.table], d.key)
+        rows = rows.join(dimensions[d.table].drop(schema.YEAR), d.key)
     return rows
 
 

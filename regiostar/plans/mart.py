@@ -103,7 +103,9 @@ def with_rank(base: DataFrame) -> DataFrame:
 
 
 def mart_from_base(base: DataFrame) -> DataFrame:
-    enriched = with_rank(with_share_change(with_yearly_change(with_share(with_region_total(base)))))
+    """Totals without a year or region have no regional total to be compared with, so they are left out."""
+    complete = base.dropna(subset=[schema.YEAR, schema.REGION])
+    enriched = with_rank(with_share_change(with_yearly_change(with_share(with_region_total(complete)))))
     rounded = enriched.withColumn(MACRO_MEAN, F.round(MACRO_MEAN, 4))
     return rounded.select(*MART_COLUMNS)
 

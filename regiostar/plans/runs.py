@@ -72,13 +72,14 @@ def run_full_refresh(spark: SparkSession, config: RunConfig) -> Warehouse:
 def run_incremental(spark: SparkSession, config: RunConfig) -> tuple[Warehouse, MacroMerge]:
     """Second generation: cohort and macro files, merged, checked, loaded by year, mart refreshed.
 
-    The merged rows are written once; the gate and the load both read that table.
+    The merged rows are written once; the gate and the load both read that table. Rows without all four keys are kept
+    in ``warehouse.rejects(config.run_id)``.
     """
     cohort, macro = staged_cohort(spark, config), staged_macro(spark, config)
     rows, merge = merged_cohort(cohort, macro, config.threshold)
     rows = materialize(rows, "merged")
     warehouse = Warehouse(spark, config.warehouse_root)
     checked = gate(rows, config.rules, f"{warehouse.root}/{RESULTS_TABLE}", config.run_id)
-    warehouse.load(checked)
+    warehouse.load(checked, run_id=config.run_id)
     warehouse.refresh_mart()
     return warehouse, merge

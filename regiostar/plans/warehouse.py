@@ -23,6 +23,8 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # how Spark names the folder of a
 BASE_TABLE = "mart_base"
 MART_TABLE = "credit_mart"
 RESULTS_TABLE = "validation_results"
+REJECTS_TABLE = "rejected_rows"
+REJECTS = "run_id string, unresolved string, row string"
 
 Entry = tuple[str, str, str]  # table, part (a year, or empty), path below the root
 
@@ -94,10 +96,17 @@ class Warehouse:
         return self._read(entries, schema.FACT_TABLE, fact_schema(), partitioned=True)
 
     def mart(self) -> DataFrame:
-        paths = [f"{self.root}/{path}" for table, _, path in self.current()[1] if table == MART_TABLE]
-        if not paths:
+        """The written mart; a filter on the year reads that year's folders only."""
+        present = [e for e in self.current()[1] if e[0] == MART_TABLE]
+        if not present:
             raise RuntimeError("the mart has not been computed; call refresh_mart first")
-        return self.spark.read.parquet(*paths)
+        columns = mart_from_base(mart_base(self.fact([]), self.dimensions([]))).schema
+        return self._read([e for e in present if e[2]], MART_TABLE, columns, partitioned=True)
+
+    def rejects(self, run_id: str | None = None) -> DataFrame:
+        """Rows that a run could not load: run, unresolved tables, and the row as JSON."""
+        kept = [e for e in self.current()[1] if e[0] == REJECTS_TABLE and run_id in (None, e[1])]
+        return self._read(kept, REJECTS_TABLE, T.StructType.fromDDL(REJECTS))
 
     # Writing
 
@@ -139,12 +148,13 @@ class Warehouse:
         cohort: DataFrame,
         fact_source: DataFrame | None = None,
         before_publish: Callable[[], None] | None = None,
+        run_id: str | None = None,
     ) -> DataFrame:
         """Add new dimension members, then replace the facts of every year in the batch.
 
         A year of the batch whose rows are all rejected ends up empty. Other years keep their folders untouched, so
         the work grows with the batch, not with the warehouse. ``fact_source`` restricts which rows become
-        facts. Returns the rejected rows.
+        facts. Returns the rejected rows; with a ``run_id`` they are also kept for ``rejects``.
         """
         version, entries = self.current()
         grouped = grouped_members(cohort)
@@ -160,11 +170,22 @@ class Warehouse:
         written = self._write_by_year(accepted, schema.FACT_TABLE, hint=True)
         kept = [e for e in entries if not (e[0] == schema.FACT_TABLE and e[1] in batch_years)]
         kept += [(schema.FACT_TABLE, year, path) for year, path in written.items()]
+        if run_id is not None:
+            kept = [e for e in kept if not (e[0] == REJECTS_TABLE and e[1] == run_id)]
+            kept += [(REJECTS_TABLE, run_id, self._write_rejects(rejected, run_id))]
         if before_publish is not None:
             before_publish()
         self.publish(version + 1, kept)
         return rejected
 
+    def _write_rejects(self, rejected: DataFrame, run_id: str) -> str:
+        folder = self._folder(REJECTS_TABLE)
+        names = [F.when(F.col(d.key).isNull(), F.lit(d.table)) for d in schema.DIMENSIONS]
+        row = F.to_json(F.struct(*[c for c in rejected.columns if c not in schema.SURROGATE_KEYS]))
+        rows = rejected.select(F.lit(run_id).alias("run_id"), F.concat_ws(",", *names).alias("unresolved"), row.alias("row"))
+        rows.write.parquet(f"{self.root}/{folder}")
+        return folder
+
     def refresh_mart(self) -> DataFrame:
         """Recompute the totals of years whose fact folder changed, then the windows over all totals.
 
@@ -190,10 +211,19 @@ class Warehouse:
         paths = [e for e in kept if e[2]]
         base_columns = mart_base(self.fact([]), dimensions).schema
         base = self._read(paths, BASE_TABLE, base_columns, partitioned=True)
-        folder = self._folder(MART_TABLE)
-        mart = mart_from_base(base).orderBy(*GRAIN)
-        mart.write.parquet(f"{self.root}/{folder}")
+        mart = mart_from_base(base)
+        gone = {part.split("|", 1)[0] for part in known} - set(current)
+        present = [e for e in entries if e[0] == MART_TABLE]
+        if present:
+            # A change reaches the ranks of its own year and the comparisons of later ones.
+            touched = [int(year) for year in {*changed, *gone} if year != NULL_PARTITION]
+            first = min(touched, default=None)
+            earlier = [e for e in present if not e[1] or first is None or int(e[1]) < first]
+            mart = mart.filter(F.lit(False) if first is None else F.col(schema.YEAR) >= first)
+        else:
+            earlier = [(MART_TABLE, "", "")]  # tells that the mart was computed, even if it has no row
+        written = self._write_by_year(mart.orderBy(*GRAIN), MART_TABLE, hint=False)
         others = [e for e in entries if e[0] not in (BASE_TABLE, MART_TABLE)]
-        self.publish(version + 1, [*others, *kept, (MART_TABLE, "", folder)])
+        self.publish(version + 1, [*others, *kept, *earlier, *[(MART_TABLE, year, path) for year, path in written.items()]])
         return self.mart()
 

@@ -23,10 +23,10 @@ def read_records(
 ) -> DataFrame:
     """All fields as text, with the name of the page; the year is compared as text.
 
-    Pages hold one record per line, or with ``arrays`` one JSON array each.
+    Pages hold one record per line, or with ``arrays`` one JSON array each. Broken JSON is an error.
     """
     fields = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    df = spark.read.schema(fields).option("multiLine", arrays).json(path)
+    df = spark.read.schema(fields).option("multiLine", arrays).option("mode", "FAILFAST").json(path)
     df = df.select("*", F.col("_metadata.file_name").alias(PAGE))
     if min_year is None:
         return df

@@ -33,12 +33,14 @@ def load_batches(spark: SparkSession, landing: str, warehouse: Warehouse, checkp
     """Load every batch that has landed since the last call, then stop.
 
     The checkpoint remembers which files were taken. A batch that is replayed after a failure replaces its own
-    years with the same rows. A batch folder must be complete when it appears.
+    years with the same rows. A batch folder must be complete when it appears. Rows that cannot be loaded are kept in
+    ``warehouse.rejects("batch-<number>")``.
     """
 
-    def load(rows: DataFrame, _: int) -> None:
+    def load(rows: DataFrame, number: int) -> None:
+        rows = materialize(rows, "micro-batch")
         if not rows.isEmpty():
-            warehouse.load(rows.drop(BATCH), fact_source=latest_by_year(rows).drop(BATCH))
+            warehouse.load(rows.drop(BATCH), fact_source=latest_by_year(rows).drop(BATCH), run_id=f"batch-{number}")
 
     stream = spark.readStream.schema(landed_schema()).parquet(landing)
     query = (

@@ -165,6 +165,33 @@ def test_incremental_mart_equals_a_full_one(warehouse, cohort):
     assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
 
 
+def test_year_filters_prune_fact_and_mart_and_early_years_keep_their_folders(warehouse, cohort):
+    warehouse.load(with_gdp(cohort(*[(y, 1, "OFICIAL", 1, y % 10) for y in (2015, 2016, 2018)])))
+    warehouse.refresh_mart()
+    before = {e for e in warehouse.current()[1] if e[0] == "credit_mart"}
+    joined = star.star_join(warehouse.fact(), warehouse.dimensions()).filter(F.col(schema.YEAR) == 2016)
+    for df in (joined, warehouse.mart().filter(F.col(schema.YEAR) == 2016)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert any("PartitionFilters: [isnotnull(vigencia" in line and "2016" in line for line in plan.splitlines())
+    assert [r["total_nuevos_beneficiarios"] for r in joined.collect()] == [6]
+    warehouse.load(with_gdp(cohort((2016, 1, "OFICIAL", 1, 60))))
+    warehouse.refresh_mart()
+    after = {e for e in warehouse.current()[1] if e[0] == "credit_mart"}
+    assert sorted(e[1] for e in before & after) == ["", "2015"]
+    assert sorted((r["vigencia"], r["total_beneficiarios"], r["beneficiarios_anio_anterior"]) for r in warehouse.mart().collect()) == [
+        (2015, 5, None), (2016, 60, 5), (2018, 8, 60)
+    ]
+
+
+def test_rejected_rows_are_kept_with_their_run(warehouse, cohort):
+    assert warehouse.rejects().isEmpty()
+    warehouse.load(with_gdp(cohort((2015, None, "OFICIAL", 1, 7), (2015, 1, None, 2, 8), (2015, 1, "OFICIAL", 2, 9))), run_id="a")
+    warehouse.load(with_gdp(cohort((2016, 1, "OFICIAL", 1, 1))), run_id="b")
+    assert sorted(r["unresolved"] for r in warehouse.rejects("a").collect()) == ["dim_geography", "dim_program"]
+    assert warehouse.rejects("b").isEmpty() and warehouse.rejects().count() == 2
+    assert warehouse.rejects().filter(F.col("row").contains('"total_nuevos_beneficiarios":7')).count() == 1
+
+
 def test_stream_loads_each_batch_once_and_the_last_one_wins(spark, warehouse, cohort, tmp_path):
     landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
 
