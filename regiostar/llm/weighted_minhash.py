@@ -13,8 +13,9 @@ sequence are one text from the start. Candidates are then verified by the exact
 1. every text of a bucket against the bucket's smallest text, which gives components of linked texts;
 2. in every bucket with several components, the texts outside its largest component against all its texts of other
    components, block against block: samples are compared inside tasks, and only pairs that agree in at least
-   ``AGREE`` samples leave the task. Each text's best pair with each other component is verified first, and then
-   every pair whose ends are still in different components.
+   ``AGREE`` samples count. Each text's best pair is verified first. Where a block holds more pairs of a text than
+   it gave, the next round compares that text again under the new components with 16 times as many, until no block
+   holds any back.
 
 A class is a connected component of the verified links; its id is the smallest document id in it.
 
@@ -210,38 +211,71 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return materialize(texts, "candidate-texts").dropDuplicates(["v"])
 
 
-def across(buckets: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b, theirs, agree) of different components that share a bucket and agree in enough samples.
+def strays(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, v of the texts outside the largest component of their bucket."""
+    member = materialize(labelled(buckets, labels), "bucket-members")
+    counts = member.groupBy("key", "label").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "label"))["label"].alias("main")).where("kinds > 1")
+    return member.join(main.select("key", "main"), "key").where("label <> main").select("key", "v")
+
+
+def labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    return buckets.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+
+
+def across(buckets: DataFrame, labels: DataFrame, texts: DataFrame, left: DataFrame, quota: int) -> DataFrame:
+    """Pairs (key, a, b, cut) of different components that share a bucket and agree in enough samples.
 
-    ``a`` lies outside the largest component of the bucket, ``theirs`` is the component of ``b``.
+    ``left`` (key, v) names the texts ``a``. Each block gives the ``quota`` pairs of a text that agree best; ``cut``
+    tells that it has more.
     """
-    member = buckets.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
-    member = materialize(member, "bucket-members")
-    counts = member.groupBy("key", "label").agg(F.count("*").alias("n"))
-    stats = counts.groupBy("key").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("all_n"), F.max("n").alias("main_n"))
-    stats = stats.where("kinds > 1").withColumn("strays", F.ceil((F.col("all_n") - F.col("main_n")) / STRAYS)).withColumn("blocks", F.ceil(F.col("all_n") / BLOCK))
-    mixed_ = materialize(member.join(stats.select("key", "main", "strays", "blocks"), "key").join(texts.select("v", "weight", "samples"), "v"), "mixed-buckets")
-    stray_block = F.pmod(F.xxhash64("v"), F.col("strays"))
-    block = F.pmod(F.xxhash64(F.lit(3), "v"), F.col("blocks"))
-    every = mixed_.select("key", "v", "label", "weight", "samples", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strays") - 1)).alias("i"), block.alias("j"), F.lit(False).alias("stray"))
-    strays = mixed_.where("label <> main").select("key", "v", "label", "weight", "samples", stray_block.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("stray"))
+    sizes = left.groupBy("key").agg(F.ceil(F.count("*") / STRAYS).alias("lefts"))
+    blocks = buckets.join(sizes, "key", "left_semi").groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    member = labelled(buckets, labels).join(sizes, "key").join(blocks, "key").join(texts.select("v", "weight", "samples"), "v")
+    named = left.select("key", "v", F.lit(True).alias("stray"))
+    member = materialize(member.join(named, ["key", "v"], "left"), "mixed-buckets")
+    columns = ["key", "v", "label", "weight", "samples"]
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    every = member.select(*columns, numbers("lefts").alias("i"), F.pmod(F.xxhash64(F.lit(3), "v"), F.col("blocks")).alias("j"), F.lit(False).alias("stray"))
+    lefts = member.where("stray").select(*columns, F.pmod(F.xxhash64("v"), F.col("lefts")).alias("i"), numbers("blocks").alias("j"), F.lit(True).alias("stray"))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows.stray], rows[~rows.stray]
-        if not len(left) or not len(right):
-            return pd.DataFrame({c: [] for c in ("a", "b", "theirs", "agree")})
-        names, theirs = right.v.to_numpy(), right.label.to_numpy()
-        weight = right.weight.to_numpy()
-        table = np.frombuffer(b"".join(right.samples), "<u4").reshape(-1, SAMPLES)
-        out: list[tuple[bytes, bytes, bytes, int]] = []
-        for v, label, w, samples in zip(left.v, left.label, left.weight, left.samples, strict=True):
-            agree = (table == np.frombuffer(samples, "<u4")).sum(axis=1)
-            near = (agree >= AGREE) & (np.minimum(weight, w) >= SIMILARITY * np.maximum(weight, w) * (1 - 1e-9))
-            out += [(v, names[x], theirs[x], int(agree[x])) for x in np.flatnonzero(near) if theirs[x] != label]
-        return pd.DataFrame(out, columns=["a", "b", "theirs", "agree"])
-
-    found = every.union(strays).groupBy("key", "i", "j").applyInPandas(compare, "a binary, b binary, theirs binary, agree int")
-    return found.dropDuplicates(["a", "b"])
+        out: list[tuple[int, bytes, bytes, bool]] = []
+        if len(left) and len(right):
+            names, weight = right.v.to_numpy(), right.weight.to_numpy()
+            kinds, theirs = np.unique(right.label.to_numpy(), return_inverse=True)
+            own = {kind: k for k, kind in enumerate(kinds)}
+            table = np.frombuffer(b"".join(right.samples), "<u4").reshape(-1, SAMPLES)
+            for key, v, label, w, samples in zip(left.key, left.v, left.label, left.weight, left.samples, strict=True):
+                agree = (table == np.frombuffer(samples, "<u4")).sum(axis=1)
+                near = (agree >= AGREE) & (np.minimum(weight, w) >= SIMILARITY * np.maximum(weight, w) * (1 - 1e-9))
+                at = np.flatnonzero(near & (theirs != own.get(label, -1)))
+                best = at[np.argsort(-agree[at], kind="stable")][:quota]
+                out += [(key, v, names[x], len(at) > quota) for x in best]
+        return pd.DataFrame(out, columns=["key", "a", "b", "cut"])
+
+    return every.union(lefts).groupBy("key", "i", "j").applyInPandas(compare, "key long, a binary, b binary, cut boolean")
+
+
+def linked(buckets: DataFrame, links: DataFrame, texts: DataFrame, candidates: DataFrame, weights: np.ndarray) -> DataFrame:
+    """Labels (v, label) of the components of ``links`` and of every link between texts that share a bucket.
+
+    A round verifies some of the best pairs of each open text; most components are one after the first. Texts of
+    which a block held back pairs stay open, with a larger quota, until no pair between components is left.
+    """
+    labels, quota, tested = components(links), 1, links.limit(0)
+    left = materialize(strays(buckets, labels), "strays")
+    while left.take(1):
+        found = materialize(across(buckets, labels, texts, left, quota), "cross-pairs")
+        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "untested-pairs")
+        tested = tested.union(pairs)
+        links = materialize(links.union(verified(pairs, candidates, weights)), "all-links")
+        labels = components(links)
+        left = materialize(found.where("cut").select("key", F.col("a").alias("v")).distinct(), "open-texts")
+        quota *= 16
+    return labels
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -259,18 +293,7 @@ def classes(docs: DataFrame) -> DataFrame:
     wanted = buckets.select("v").distinct().join(texts.select("v", "row"), "v")
     candidates = materialize(fetched(docs, wanted), "bucket-texts")
     links = materialize(verified(pairs, candidates, weights), "centre-links")
-    labels = components(links)
-    more = materialize(across(buckets.select("key", "v"), labels, texts), "cross-pairs")
-    if more.take(1):
-        # First each text's best pair with each other component; most components are one after that.
-        best = more.groupBy("a", "theirs").agg(F.max(F.struct("agree", "b"))["b"].alias("b")).select("a", "b")
-        links = materialize(links.union(verified(best, candidates, weights)), "best-links")
-        labels = components(links)
-        ends = [labels.select(F.col("v").alias(f"{c}_v"), F.col("label").alias(f"{c}_label")) for c in "ab"]
-        apart = more.join(best, ["a", "b"], "left_anti").join(ends[0], F.col("a") == F.col("a_v"), "left").join(ends[1], F.col("b") == F.col("b_v"), "left")
-        apart = apart.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
-        links = materialize(links.union(verified(materialize(apart, "pairs-apart"), candidates, weights)), "all-links")
-        labels = components(links)
+    labels = linked(buckets.select("key", "v"), links, texts, candidates, weights)
     named = rows.select("doc_id", "row", "v").join(labels, "v", "left")
     # Texts without words stay alone: their class is their row.
     label = F.coalesce("label", "v", F.unhex(F.hex(F.col("row")))).alias("label")
