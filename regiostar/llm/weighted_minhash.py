@@ -12,10 +12,8 @@ sequence are one text from the start. Candidates are then verified by the exact
 
 1. every text of a bucket against the bucket's smallest text, which gives components of linked texts;
 2. in every bucket with several components, the texts outside its largest component against all its texts of other
-   components, block against block: samples are compared inside tasks, and only pairs that agree in at least
-   ``AGREE`` samples count. Each text's best pair is verified first. Where a block holds more pairs of a text than
-   it gave, the next round compares that text again under the new components with 16 times as many, until no block
-   holds any back.
+   components, block against block. Pairs that agree in at least ``AGREE`` samples and whose bound of the shared
+   weight allows it are verified inside the task, which gives only links between texts not joined before.
 
 A class is a connected component of the verified links; its id is the smallest document id in it.
 
@@ -47,6 +45,8 @@ SAMPLES = BANDS * ROWS
 AGREE = 28
 CELL_BITS = 18
 BLOCK, STRAYS = 4096, 256
+BLOCK_WEIGHT, STRAY_WEIGHT = 1 << 21, 1 << 19  # weight of a block's texts: 1 to 2 a word
+COLUMNS = 2048  # shared keys of a block multiplied at a time
 LEVELS = 1 << 16
 CHUNK = 1 << 10  # shingles sampled at a time
 
@@ -223,59 +223,88 @@ def labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return buckets.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
 
 
-def across(buckets: DataFrame, labels: DataFrame, texts: DataFrame, left: DataFrame, quota: int) -> DataFrame:
-    """Pairs (key, a, b, cut) of different components that share a bucket and agree in enough samples.
+def shared_weights(left: list[tuple], right: list[tuple]) -> np.ndarray:
+    """An upper bound of the shared weight of every left and right list, exact where shared keys weigh the same.
 
-    ``left`` (key, v) names the texts ``a``. Each block gives the ``quota`` pairs of a text that agree best; ``cut``
-    tells that it has more.
+    The smaller of two weights is at most the root of their product, so the bound is a product of matrices of roots,
+    added up over ``COLUMNS`` shared keys at a time.
     """
-    sizes = left.groupBy("key").agg(F.ceil(F.count("*") / STRAYS).alias("lefts"))
-    blocks = buckets.join(sizes, "key", "left_semi").groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    member = labelled(buckets, labels).join(sizes, "key").join(blocks, "key").join(texts.select("v", "weight", "samples"), "v")
+    keys = np.intersect1d(np.concatenate([k for k, _ in left]), np.concatenate([k for k, _ in right]))
+    total = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(keys), COLUMNS):
+        part = keys[at : at + COLUMNS]
+        sides = []
+        for texts in (left, right):
+            dense = np.zeros((len(texts), len(part)), np.float32)
+            for i, (found, each) in enumerate(texts):
+                low, high = np.searchsorted(found, part[0]), np.searchsorted(found, part[-1], "right")
+                at_part = np.searchsorted(part, found[low:high])
+                hit = part[at_part] == found[low:high]
+                dense[i, at_part[hit]] = np.sqrt(each[low:high][hit])
+            sides.append(dense)
+        total += sides[0] @ sides[1].T
+    return total
+
+
+def across(buckets: DataFrame, labels: DataFrame, texts: DataFrame, left: DataFrame, candidates: DataFrame, weights: np.ndarray) -> DataFrame:
+    """Links (a, b) that join different components within buckets; ``left`` (key, v) names the texts compared with all others.
+
+    A block compares all its pairs and verifies them exactly inside its task. It gives a link only where its ends are
+    not joined yet, so at most one less than its components, however many pairs it holds.
+    """
+    shared = buckets.sparkSession.sparkContext.broadcast(weights)
+    of_left = left.join(texts.select("v", "weight"), "v").groupBy("key")
+    sizes = of_left.agg(F.ceil(F.greatest(F.count("*") / STRAYS, F.sum("weight") / STRAY_WEIGHT)).alias("lefts"))
+    of_all = buckets.join(sizes, "key", "left_semi").join(texts.select("v", "weight"), "v").groupBy("key")
+    blocks = of_all.agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("weight") / BLOCK_WEIGHT)).alias("blocks"))
+    member = labelled(buckets, labels).join(sizes, "key").join(blocks, "key").join(texts.select("v", "weight", "samples"), "v").join(candidates, "v")
     named = left.select("key", "v", F.lit(True).alias("stray"))
     member = materialize(member.join(named, ["key", "v"], "left"), "mixed-buckets")
-    columns = ["key", "v", "label", "weight", "samples"]
+    columns = ["key", "v", "label", "weight", "samples", "text"]
     numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     every = member.select(*columns, numbers("lefts").alias("i"), F.pmod(F.xxhash64(F.lit(3), "v"), F.col("blocks")).alias("j"), F.lit(False).alias("stray"))
     lefts = member.where("stray").select(*columns, F.pmod(F.xxhash64("v"), F.col("lefts")).alias("i"), numbers("blocks").alias("j"), F.lit(True).alias("stray"))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": []})
         left, right = rows[rows.stray], rows[~rows.stray]
-        out: list[tuple[int, bytes, bytes, bool]] = []
-        if len(left) and len(right):
-            names, weight = right.v.to_numpy(), right.weight.to_numpy()
-            kinds, theirs = np.unique(right.label.to_numpy(), return_inverse=True)
-            own = {kind: k for k, kind in enumerate(kinds)}
-            table = np.frombuffer(b"".join(right.samples), "<u4").reshape(-1, SAMPLES)
-            for key, v, label, w, samples in zip(left.key, left.v, left.label, left.weight, left.samples, strict=True):
-                agree = (table == np.frombuffer(samples, "<u4")).sum(axis=1)
-                near = (agree >= AGREE) & (np.minimum(weight, w) >= SIMILARITY * np.maximum(weight, w) * (1 - 1e-9))
-                at = np.flatnonzero(near & (theirs != own.get(label, -1)))
-                best = at[np.argsort(-agree[at], kind="stable")][:quota]
-                out += [(key, v, names[x], len(at) > quota) for x in best]
-        return pd.DataFrame(out, columns=["key", "a", "b", "cut"])
-
-    return every.union(lefts).groupBy("key", "i", "j").applyInPandas(compare, "key long, a binary, b binary, cut boolean")
+        if not len(left) or not len(right):
+            return none
+        a_table, b_table = (np.frombuffer(b"".join(side.samples), "<u4").reshape(-1, SAMPLES) for side in (left, right))
+        a_weight, b_weight = left.weight.to_numpy(), right.weight.to_numpy()
+        _, kinds = np.unique(np.concatenate([left.label.to_numpy(), right.label.to_numpy()]), return_inverse=True)
+        ours, theirs, root = kinds[: len(left)], kinds[len(left) :], np.arange(kinds.max() + 1)
+        near = np.empty((len(left), len(right)), bool)
+        for i, samples in enumerate(a_table):
+            alike = np.minimum(b_weight, a_weight[i]) >= SIMILARITY * np.maximum(b_weight, a_weight[i]) * (1 - 1e-9)
+            near[i] = alike & (theirs != ours[i]) & ((b_table == samples).sum(axis=1) >= AGREE)
+        rows_, columns_ = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        if not len(rows_):
+            return none
+        known, table = WordHashes(), shared.value
+        a_keys, b_keys = ([shingles(known.of(split_words(side.text.iat[i])), table) for i in at] for side, at in ((left, rows_), (right, columns_)))
+        bound = shared_weights(a_keys, b_keys)
+        a_names, b_names, out = left.v.to_numpy(), right.v.to_numpy(), []
+        for i, row in enumerate(rows_):
+            whole = a_weight[row] + b_weight[columns_] - bound[i]
+            open_ = np.flatnonzero(near[row, columns_] & (bound[i] >= (SIMILARITY - 1e-3) * whole))
+            while len(open_ := open_[root[theirs[columns_[open_]]] != root[ours[row]]]):
+                j, open_ = open_[0], open_[1:]
+                if similarity(a_keys[i], b_keys[j]) >= SIMILARITY:
+                    out.append((a_names[row], b_names[columns_[j]]))
+                    root[root == root[theirs[columns_[j]]]] = root[ours[row]]
+        return pd.DataFrame(out, columns=["a", "b"]) if out else none
+
+    return every.union(lefts).groupBy("key", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
 def linked(buckets: DataFrame, links: DataFrame, texts: DataFrame, candidates: DataFrame, weights: np.ndarray) -> DataFrame:
-    """Labels (v, label) of the components of ``links`` and of every link between texts that share a bucket.
-
-    A round verifies some of the best pairs of each open text; most components are one after the first. Texts of
-    which a block held back pairs stay open, with a larger quota, until no pair between components is left.
-    """
-    labels, quota, tested = components(links), 1, links.limit(0)
+    """Labels (v, label) of the components of ``links`` and of every link between texts that share a bucket."""
+    labels = components(links)
     left = materialize(strays(buckets, labels), "strays")
-    while left.take(1):
-        found = materialize(across(buckets, labels, texts, left, quota), "cross-pairs")
-        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "untested-pairs")
-        tested = tested.union(pairs)
-        links = materialize(links.union(verified(pairs, candidates, weights)), "all-links")
-        labels = components(links)
-        left = materialize(found.where("cut").select("key", F.col("a").alias("v")).distinct(), "open-texts")
-        quota *= 16
-    return labels
+    if not left.take(1):
+        return labels
+    return components(links.union(materialize(across(buckets, labels, texts, left, candidates, weights), "cross-links")))
 
 
 def classes(docs: DataFrame) -> DataFrame:
