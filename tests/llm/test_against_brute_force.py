@@ -12,7 +12,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from regiostar.llm import collection_bwt, html_consensus, toxic_segments
+from regiostar.llm import collection_bwt, html_consensus, toxic_segments, weighted_minhash
+from regiostar.llm.common import WordHashes
 from regiostar.llm.oracles import ORACLES
 from regiostar.llm.queries import QUERIES, RULES, tokenizer_file
 from regiostar.llm.token_files import UnitEncoder
@@ -97,6 +98,31 @@ def test_near_duplicates(spark):
                 assert got[a] == got[b] if j >= 0.85 else j >= 0.7 or got[a] != got[b]
 
 
+def test_near_duplicates_are_the_components_of_all_links(spark):
+    rng = random.Random(8)
+    base, texts = [f"w{i}" for i in range(200)], []
+    for _ in range(80):
+        found = list(base)
+        for i in rng.sample(range(200), rng.randint(1, 4)):
+            found[i] = f"x{rng.random()}"
+        texts.append(" ".join(found))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    weights = weighted_minhash.word_weights(frame)
+    parts = [weighted_minhash.shingles(WordHashes().of(t.split()), weights) for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if weighted_minhash.similarity(parts[a], parts[b]) >= weighted_minhash.SIMILARITY:
+                one, two = sorted((root[a], root[b]))
+                root = [one if r == two else r for r in root]
+    assert {r.doc_id: r.class_id for r in weighted_minhash.classes(frame).collect()} == dict(enumerate(root))
+    bound = weighted_minhash.shared_weights(parts, parts)
+    for a, (keys, each) in enumerate(parts[:20]):
+        for b, (others, theirs) in enumerate(parts):
+            _, i, j = np.intersect1d(keys, others, return_indices=True)
+            assert bound[a, b] == pytest.approx(np.minimum(each[i], theirs[j]).sum(), rel=1e-4)
+
+
 def test_decontamination(spark):
     def words(t):
         return re.findall(r"\w+", t.lower())
