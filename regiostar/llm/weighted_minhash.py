@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiostar.llm.common import WordHashes, mixed, small_batches
+from regiostar.llm.common import mixed, small_batches
 from regiostar.llm.components import components
 from regiostar.session import materialize
 
@@ -48,7 +48,10 @@ BLOCK, STRAYS = 4096, 256
 BLOCK_WEIGHT, STRAY_WEIGHT = 1 << 21, 1 << 19  # weight of a block's texts: 1 to 2 a word
 COLUMNS = 2048  # shared keys of a block multiplied at a time
 LEVELS = 1 << 16
-CHUNK = 1 << 10  # shingles sampled at a time
+CHUNK = 1 << 11  # shingles sampled at a time
+PIECE = 1 << 16  # words hashed at a time
+SYMBOLS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+POWERS = np.cumprod(np.full(1024, 0xD6E8FEB86659FD93, np.uint64))
 
 
 def split_words(text: str | None) -> list[str]:
@@ -59,6 +62,18 @@ def digest(found: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(found))
 
 
+def hashes(found: list[str]) -> np.ndarray:
+    """64-bit hashes of the words' bytes, a piece of the text at a time."""
+    out = [np.zeros(0, np.uint64)]
+    for at in range(0, len(found), PIECE):
+        data = np.frombuffer((" ".join(found[at : at + PIECE]) + " ").encode(), np.uint8)
+        ends = np.flatnonzero(data == 32)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        offset = np.arange(len(data)) - np.repeat(starts, ends - starts + 1)
+        out.append(mixed(np.add.reduceat(SYMBOLS[data] * POWERS[offset & 1023], starts)))
+    return np.concatenate(out)
+
+
 def row_key() -> Column:
     """A hash of id and text that tells rows apart, null ids included."""
     return F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit("")), F.col("doc_id").isNull())
@@ -68,11 +83,11 @@ def word_weights(docs: DataFrame) -> np.ndarray:
     """Damped inverse document frequency of every hashed cell, from all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cells, total = WordHashes(), np.zeros(1 << CELL_BITS, np.int64), 0
+        cells, total = np.zeros(1 << CELL_BITS, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
-                found = known.of(list(set(split_words(text.as_py()))))
-                np.add.at(cells, (found >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
+                found = hashes(split_words(text.as_py()))
+                cells[np.unique((found >> np.uint64(64 - CELL_BITS)).astype(np.int32))] += 1
                 total += 1
         here = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(here, -1)), pa.array(np.append(cells[here], total))], ["cell", "n"])
@@ -85,57 +100,103 @@ def word_weights(docs: DataFrame) -> np.ndarray:
     return (2.0 - np.log(frequency) / np.log(total)).astype(np.float32)
 
 
-def shingles(hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingles(words: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles, rising, and their weights."""
-    n = len(hashes)
+    n = len(words)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.float32)
     width = min(SHINGLE, n)
-    each = weights[(hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+    each = weights[(words >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
     keys, sums = np.full(n - width + 1, width, np.uint64), np.zeros(n - width + 1, np.float32)
     for i in range(width):
-        keys = keys * np.uint64(0x9E3779B97F4A7C15) + hashes[i : n - width + 1 + i]
+        keys = keys * np.uint64(0x9E3779B97F4A7C15) + words[i : n - width + 1 + i]
         sums += each[i : n - width + 1 + i]
     found, first, counts = np.unique(mixed(keys), return_index=True, return_counts=True)
     return found, (counts * (sums[first] / width)).astype(np.float32)
 
 
+def draws(limit: float, n: int = LEVELS) -> tuple[np.ndarray, np.ndarray]:
+    """n evenly spread pairs (log c, r) of independent Gamma(2, 1) variables with log c - r below ``limit``, rising by that difference."""
+    c = np.geomspace(1e-18, 60, 1 << 14)
+    below_c = np.where(c < 1e-4, c * c / 2, -np.expm1(-c) - c * np.exp(-c))
+    r = np.linspace(0, 60, 1 << 15)[1:]
+    bound = np.interp(np.minimum(limit + r, np.log(60)), np.log(c), below_c)  # chance that log c < limit + r
+    spread = np.cumsum(r * np.exp(-r) * bound)
+    i = np.arange(n)
+    picked = np.interp((i + 0.5) / n, spread / spread[-1], r)
+    part = np.interp(picked, r, bound) * ((i * 0.6180339887498949 + 0.5 / n) % 1)
+    log_c = np.interp(np.log(np.maximum(part, 1e-36)), np.log(below_c), np.log(c))
+    order = np.argsort(log_c - picked, kind="stable")
+    return log_c[order].astype(np.float32), picked[order].astype(np.float32)
+
+
 class Sampler:
-    """Consistent weighted samples: each of SAMPLES functions picks one shingle and a level of its weight."""
+    """Consistent weighted samples: each of SAMPLES functions picks the shingle of least rank and a level of its weight.
+
+    A shingle's pair (log c, r) in a function is drawn by 16 hashed bits from a table that rises by log c - r, the 64 lowest
+    entries by 16 more bits from a table of that tail. The rank lies at most r above log c - r - log(weight), so comparing
+    the 16 bits with a limit of each shingle leaves few whose rank is to be computed. A function without a rank below the limit,
+    seven in a thousand, computes all ranks; the samples are the same as if all did.
+    """
+
+    TAIL, SPAN = 64, np.log(5.0)
 
     def __init__(self):
-        u = (np.arange(LEVELS) + 0.5) / LEVELS
-        self.minus_log = (-np.log(u)).astype(np.float32)
-        byte = -np.log((np.arange(256) + 0.5) / 256)
-        self.gamma = (byte[:, None] + byte[None, :]).ravel().astype(np.float32)
-        self.beta = u.astype(np.float32)
-        self.seeds = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+        self.log_c, self.r = draws(np.inf)
+        self.least = self.log_c - self.r
+        self.tail_c, self.tail_r = draws(float(self.least[self.TAIL]))
+        self.seeds = mixed(np.arange(1, SAMPLES // 4 + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+        self.own = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+
+    def bits(self, keys: np.ndarray) -> np.ndarray:
+        """16 bits of every function (rows: seeds, columns: keys, then four functions a seed)."""
+        h = (keys ^ self.seeds[:, None]) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xE7037ED1A0B428DB)
+        h ^= h >> np.uint64(29)
+        return h.view(np.uint16).reshape(len(self.seeds), len(keys), 4)
+
+    def ranks(self, function: np.ndarray, bits: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        more = mixed(keys ^ self.own[function])
+        low = (more & np.uint64(LEVELS - 1)).astype(np.int64)
+        beta = (more >> np.uint64(32)).astype(np.float64) / 2**32
+        tail = bits < self.TAIL
+        r = np.where(tail, self.tail_r[low], self.r[bits]).astype(np.float64)
+        log_c = np.where(tail, self.tail_c[low], self.log_c[bits])
+        level = np.floor(logs / r + beta)
+        return log_c - r * (level - beta + 1), level
 
     def __call__(self, keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The samples as hashes of (shingle, level)."""
-        best = np.full(SAMPLES, np.inf, np.float32)
-        picked = [0] * SAMPLES
-        for at in range(0, len(keys), CHUNK):
-            part, logs = keys[at : at + CHUNK], np.log(weights[at : at + CHUNK])
-            h = (part ^ self.seeds[:, None]) * np.uint64(0xD6E8FEB86659FD93)  # a row per sample
-            h ^= h >> np.uint64(32)
-            h *= np.uint64(0xE7037ED1A0B428DB)
-            bits = h.view(np.uint16).reshape(SAMPLES, -1, 4)
-            r, b = self.gamma[bits[:, :, 3]], self.beta[bits[:, :, 2]]
-            level = np.floor(logs / r + b)
-            rank = self.minus_log[bits[:, :, 1]]
-            rank += self.minus_log[bits[:, :, 0]]
-            np.log(rank, out=rank)
-            b -= level
-            b -= np.float32(1)
-            b *= r
-            rank += b
-            least = rank.argmin(axis=1)
-            for k, i in enumerate(least.tolist()):
-                if rank[k, i] < best[k]:
-                    best[k] = rank[k, i]
-                    picked[k] = (int(part[i]) + int(level[k, i]) * 0x9E3779B97F4A7C15) % 2**64
-        return mixed(np.array(picked, np.uint64))
+        best = np.full(SAMPLES, np.inf)
+        picked = np.zeros(SAMPLES, np.uint64)
+        logs = np.log(weights.astype(np.float64))
+        bound = self.SPAN - np.log(weights.sum(dtype=np.float64))
+        limits = np.searchsorted(self.least, (bound + logs + 1e-3).astype(np.float32), "right")
+        limits = np.clip(limits, self.TAIL, LEVELS - 1).astype(np.uint16)
+
+        def take(function: np.ndarray, at: np.ndarray, bits: np.ndarray) -> None:
+            rank, level = self.ranks(function, bits.astype(np.int64), keys[at], logs[at])
+            least = best.copy()
+            np.minimum.at(least, function, rank)
+            better = np.flatnonzero((rank == least[function]) & (rank < best[function]))
+            first = better[np.unique(function[better], return_index=True)[1]]
+            best[function[first]] = rank[first]
+            picked[function[first]] = keys[at[first]] + level[first].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+        for chunk in range(0, len(keys), CHUNK):
+            bits = self.bits(keys[chunk : chunk + CHUNK])
+            n = bits.shape[1] * 4
+            place = np.flatnonzero(bits.reshape(-1, n) <= np.repeat(limits[chunk : chunk + CHUNK], 4)).astype(np.uint32)
+            seed = place // np.uint32(n)
+            rest = place - seed * np.uint32(n)
+            take((seed * 4 + (rest & 3)).astype(np.int64), (rest >> 2).astype(np.int64) + chunk, bits.ravel()[place])
+        missed = np.flatnonzero(best > bound)
+        for chunk in range(0, len(keys) if len(missed) else 0, CHUNK):
+            bits = self.bits(keys[chunk : chunk + CHUNK])
+            function, at = (x.ravel() for x in np.meshgrid(missed, np.arange(bits.shape[1]), indexing="ij"))
+            take(function, at + chunk, bits[function // 4, at, function % 4])
+        return mixed(picked)
 
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
@@ -150,7 +211,7 @@ def signed(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, sampler, table = WordHashes(), Sampler(), shared.value
+        sampler, table = Sampler(), shared.value
         for batch in batches:
             vs, totals, bands, samples = [], [], [], []
             for value in batch.column(2):
@@ -161,7 +222,7 @@ def signed(docs: DataFrame, weights: np.ndarray) -> DataFrame:
                     bands.append(None)
                     samples.append(None)
                     continue
-                keys, each = shingles(known.of(found), table)
+                keys, each = shingles(hashes(found), table)
                 picked = sampler(keys, each)
                 vs.append(digest(found))
                 totals.append(float(each.sum(dtype=np.float64)))
@@ -189,14 +250,14 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: np.ndarray, least: flo
     shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table, last, left = WordHashes(), shared.value, None, None
+        table, last, left = shared.value, None, None
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
             keep = []
             for name, one, two in zip(a, batch.column(2), batch.column(3), strict=True):
                 if name.as_py() != last:
-                    last, left = name.as_py(), shingles(known.of(split_words(one.as_py())), table)
-                keep.append(similarity(left, shingles(known.of(split_words(two.as_py())), table)) >= least)
+                    last, left = name.as_py(), shingles(hashes(split_words(one.as_py())), table)
+                keep.append(similarity(left, shingles(hashes(split_words(two.as_py())), table)) >= least)
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
 
@@ -281,8 +342,8 @@ def across(buckets: DataFrame, labels: DataFrame, texts: DataFrame, left: DataFr
         rows_, columns_ = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
         if not len(rows_):
             return none
-        known, table = WordHashes(), shared.value
-        a_keys, b_keys = ([shingles(known.of(split_words(side.text.iat[i])), table) for i in at] for side, at in ((left, rows_), (right, columns_)))
+        table = shared.value
+        a_keys, b_keys = ([shingles(hashes(split_words(side.text.iat[i])), table) for i in at] for side, at in ((left, rows_), (right, columns_)))
         bound = shared_weights(a_keys, b_keys)
         a_names, b_names, out = left.v.to_numpy(), right.v.to_numpy(), []
         for i, row in enumerate(rows_):

@@ -13,7 +13,6 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from regiostar.llm import collection_bwt, html_consensus, toxic_segments, weighted_minhash
-from regiostar.llm.common import WordHashes
 from regiostar.llm.oracles import ORACLES
 from regiostar.llm.queries import QUERIES, RULES, tokenizer_file
 from regiostar.llm.token_files import UnitEncoder
@@ -108,7 +107,7 @@ def test_near_duplicates_are_the_components_of_all_links(spark):
         texts.append(" ".join(found))
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     weights = weighted_minhash.word_weights(frame)
-    parts = [weighted_minhash.shingles(WordHashes().of(t.split()), weights) for t in texts]
+    parts = [weighted_minhash.shingles(weighted_minhash.hashes(t.split()), weights) for t in texts]
     root = list(range(len(texts)))
     for a in range(len(texts)):
         for b in range(a):
