@@ -99,45 +99,53 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     return counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
 
 
+def places(key: np.ndarray, doc: np.ndarray, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hashes that name reads by where they stand."""
+    doc, h, first = (np.asarray(x, np.int64).view(np.uint64) for x in (doc, h, first))
+    return mixed(key.view(np.uint64) ^ mixed(doc * np.uint64(0x9E3779B97F4A7C15) + h) ^ (first * np.uint64(0xD1B54A32D192ED03)))
+
+
 def occurrences(docs: DataFrame, map_: np.ndarray, with_bytes: bool) -> DataFrame:
-    """Reads whose key passes ``map_``: key, read (digest), doc, h, first, span, place; with the bytes if asked.
+    """Reads that pass ``map_``: key, read (digest), doc, h, first, span, place; with the bytes if asked.
 
-    ``span`` is the number of windows less one, ``place`` the distance from the first window to the anchor. With bytes, ``map_`` is over digests.
+    ``span`` is the number of windows less one, ``place`` the distance from the first window to the anchor. The map is over mixed
+    keys, with bytes over the names of ``places``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(map_)
+    names = ["key", "read", "doc", "h", "first", "span", "place"] + ["bytes"] * with_bytes
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bit_map = shared.value
-        out: list[list] = [[] for _ in range(8)]
+        numbers: list[tuple] = []
+        digests: list[bytes] = []
+        pieces: list[bytes] = []
 
         def flush() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            names = ["key", "read", "doc", "h", "first", "span", "place", "bytes"]
-            n = 8 if with_bytes else 7
-            batch = pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in list(zip(out, kinds, strict=True))[:n]], names[:n])
-            for values in out:
-                values.clear()
-            return batch
+            key, doc, h, first, span, place = (np.concatenate(x) for x in zip(*numbers, strict=True))
+            columns = [key, pa.array(digests, pa.binary()), doc, h, first, span.astype(np.int32), place.astype(np.int32)]
+            columns += [pa.array(pieces, pa.binary())] * with_bytes
+            for held in (numbers, digests, pieces):
+                held.clear()
+            return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
         for batch in batches:
-            for doc, h, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for doc, h, value in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2), strict=True):
                 data = _bytes(value)
                 raw = memoryview(data)
                 for key, place, first, last in anchors(data):
-                    here = np.arange(len(key)) if with_bytes else np.flatnonzero(passes(bit_map, mixed(key.view(np.uint64))))
-                    for k, p, a, b in zip(key[here].tolist(), place[here].tolist(), first[here].tolist(), last[here].tolist(), strict=True):
-                        piece = raw[a : b + LENGTH]
-                        digest = xxhash.xxh3_128_digest(piece)
-                        if with_bytes:
-                            name = np.frombuffer(digest[:8], ">u8").astype(np.uint64)
-                            if not passes(bit_map, name)[0]:
-                                continue
-                            out[7].append(bytes(piece))
-                        for values, x in zip(out, (k, digest, doc, h, a, b - a, p - a), strict=False):
-                            values.append(x)
-                    if len(out[0]) >= 8192:
+                    name = places(key, np.array([doc]), np.array([h]), first) if with_bytes else mixed(key.view(np.uint64))
+                    here = np.flatnonzero(passes(bit_map, name))
+                    if not len(here):
+                        continue
+                    key, place, first, last = key[here], place[here], first[here], last[here]
+                    found = [raw[a:b] for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)]
+                    digests += map(xxhash.xxh3_128_digest, found)
+                    if with_bytes:
+                        pieces += map(bytes, found)
+                    numbers.append((key, np.full(len(key), doc), np.full(len(key), h), first, last - first, place - first))
+                    if len(digests) >= 8192:
                         yield flush()
-            if out[0]:
+            if digests:
                 yield flush()
 
     schema = "key long, read binary, doc long, h long, first long, span int, place int" + (", bytes binary" if with_bytes else "")
@@ -277,17 +285,14 @@ def late_hot_reads(reads: DataFrame) -> DataFrame:
 def covered(docs: DataFrame) -> DataFrame:
     """doc, h, parts (first, span, mask) of every document with late windows; without a mask all windows are late."""
     keys = materialize(repeated_anchors(docs), "repeated-anchors")
-    spread = keys.select(F.expr("key").alias("key"))
-    found = materialize(occurrences(docs, _mixed_filter(spread), with_bytes=False), "reads")
+    found = materialize(occurrences(docs, _mixed_filter(keys), with_bytes=False), "reads")
     at = F.struct("doc", "h", "first").alias("at")
     reads = found.groupBy("key", "read").agg(F.min(at).alias("at"), F.first("span").alias("span"), F.first("place").alias("place"), F.count("*").alias("n"))
     reads = materialize(reads, "distinct-reads")
     contested = reads.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
     contested = materialize(reads.join(contested, "key").select("key", "read", "at", "span", "place", "kinds"), "contested-reads")
 
-    names = contested.select(F.conv(F.hex(F.substring("read", 1, 8)), 16, -10).cast("long").alias("name"))
-    bits = filter_bits(contested.count())
-    with_bytes = occurrences(docs, key_filter(names, "name", bits), with_bytes=True)
+    with_bytes = occurrences(docs, _place_filter(contested), with_bytes=True)
     joined = with_bytes.join(contested.select("key", "read", "at", "kinds"), ["key", "read"]).where(F.struct("doc", "h", "first") == F.col("at"))
     # A row that repeats id and text has the same reads at the same places.
     needed = materialize(joined.drop("at").dropDuplicates(["key", "read"]), "reads-with-bytes")
@@ -314,6 +319,17 @@ def _mixed_filter(keys: DataFrame) -> np.ndarray:
     return key_filter(keys.mapInArrow(mix, "key long"), "key", filter_bits(keys.count()))
 
 
+def _place_filter(reads: DataFrame) -> np.ndarray:
+    """A filter over where the reads' earliest occurrences stand."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(places(*(c.to_numpy() for c in batch.columns)).view(np.int64))], ["name"])
+
+    at = reads.select("key", "at.doc", "at.h", "at.first")
+    return key_filter(at.mapInArrow(name, "name long"), "name", filter_bits(reads.count()))
+
+
 def removed_spans(parts: list[dict] | None) -> list[tuple[int, int]]:
     """Maximal removed runs [start, end) of a document from its late windows."""
     spans: list[tuple[int, int]] = []
