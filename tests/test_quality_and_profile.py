@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from regiostar import schema
 from regiostar.operators import profile, quality
 from regiostar.plans import dashboard
+from regiostar.plans.runs import RunConfig, run_incremental
 
 
 def outcome(df, *rules):
@@ -135,3 +136,8 @@ def test_dashboard(table):
     assert dashboard.mart_slice(mart, min_change=0).count() == 1
     assert dashboard.yearly_evolution(mart).first()["total_beneficiarios"] == 8
     assert not math.isnan(shares[2015, "A", "OFICIAL"])
+
+
+def test_an_incremental_run_needs_rules(spark, tmp_path):
+    with pytest.raises(ValueError, match="rules"):
+        run_incremental(spark, RunConfig("nowhere", str(tmp_path)))
