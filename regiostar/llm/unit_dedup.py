@@ -1,14 +1,14 @@
 """Substring dedup by line hashing.
 
 Units are the lines of a text. A unit is normalised (lower case, runs of blanks as one, ends trimmed) and reduced to
-two independent 64-bit digests. Units of at least ``LEAST_WORDS`` words are grouped by digest over the whole table;
+two independent 64-bit digests. All units but empty ones are grouped by digest over the whole table, however short;
 the earliest occurrence (smallest document id, then smallest unit number) is kept and the others are removed, with
 their offsets in the original text retained. Grouping is a minimum per digest, combined inside each task before the
 shuffle, so a line that a third of all documents share costs one row per task.
 
 Defined results: a null text counts as empty; rows with a null id come last in rank; rows that share an id are ranked
-by their text's hash, rows that repeat id and text are one document and get the same result each; short units and empty lines stay; an
-empty table gives an empty result; other columns are ignored.
+by their text's hash, rows that repeat id and text are one document and get the same result each; empty lines stay, and
+units of fewer than ``least_words`` words (parted by blanks) if a caller asks for that; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from regiostar.session import materialize
 
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 BLANKS = r"[\t\x0B\f\r ]+"
 
 
@@ -34,7 +34,7 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     units = named.select("doc_id", "h", F.split("text", "\n").alias("units"))
     lines = F.transform(units["units"], normalised)
     listed = units.select("doc_id", "h", F.posexplode(lines).alias("at", "unit"))
-    listed = listed.where(F.size(F.split(unit, " ")) >= least_words).select(
+    listed = listed.where((unit != "") & (F.size(F.split(unit, " ")) >= least_words)).select(
         "doc_id", "h", "at", F.xxhash64(unit).alias("d1"), F.xxhash64(F.lit(11), unit).alias("d2")
     )
     listed = materialize(listed, "unit-digests")
