@@ -1,16 +1,22 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A mask is a fixed pattern of compared and ignored positions. Every mask is laid over every position of the benchmark
+A seed is a fixed pattern of compared and ignored positions. Every seed is laid over every position of the benchmark
 items and of the documents, and the words under its compared positions are hashed together; a substituted word under
-an ignored position leaves the hash as it is, and with several masks most substitutions leave some hash intact. Equal
-hashes are joined, which gives (document, item, offset) diagonals. Around every hit the words of document and item are
-then compared one by one: an overlap is a stretch of a diagonal covered by windows of ``WINDOW`` words (the whole item
-if it is shorter) of which at least ``IDENTITY`` agree, found within ``MARGIN`` words of the hits.
+an ignored position leaves the hash as it is. Equal hashes are joined, which gives (document, item, offset) diagonals.
+Around every hit the words of document and item are then compared one by one: an overlap is a stretch of a diagonal
+covered by windows of ``PASSAGE`` to ``WINDOW`` words (the whole item if it is shorter) of which at least ``IDENTITY``
+agree, found within ``MARGIN`` words of the hits.
+
+The seeds lose no such window. Cut into blocks, a window has more blocks than substituted words may touch, so some
+blocks stay intact, and every choice of blocks that may be left is a seed. Windows of 15 or more words with up to 3
+substitutions (5 blocks of 3 words; 20 words with 4: 6 blocks), of 12 with 2 (4 blocks) and of 9 with 1 (3 blocks)
+keep two blocks of three words: seeds are two such blocks at a distance. Windows of 10 words with 2 and of 8 with 1
+keep three of their blocks of two words, those of 5 or 6 words with 1 all words but one.
 
 Documents are not shuffled. Their hashes first pass a bit map of the benchmark's hashes whose size is bounded; only
 positions that pass, with the word hashes around them, go to the join, which is exact.
 
-Items shorter than the masks are hashed whole; items of fewer than ``LEAST_WORDS`` words are never reported.
+Items of fewer than ``LEAST_WORDS`` words are never reported.
 
 Defined results: null and empty texts have no overlaps; rows with a null id take no part and are not contaminated;
 repeated documents and items are judged each, a pair of ids gives one row; empty tables give an empty result; other
@@ -29,39 +35,54 @@ from pyspark.sql import functions as F
 from regiostar.llm.common import WordHashes, filter_bits, key_filter, mixed, passes, small_batches, words
 from regiostar.session import materialize
 
-MASKS = ("11101100101", "1101000111011", "10110111001011")
 LEAST_WORDS = 5
+PASSAGE = 13
 WINDOW = 20
 IDENTITY = 0.8
 MARGIN = 48
 
+#: Seeds as (words in a block, starts of the blocks compared).
+TRIPLES = [(3, (0, 3 * gap)) for gap in range(1, 6)]
+PAIRS = [(2, (0, 2 * a, 2 * b)) for b in range(2, 5) for a in range(1, b)]
+ALL_BUT_ONE = {n: [(1, tuple(i for i in range(n) if i != out)) for out in range(1, n)] for n in (5, 6)}
+SHAPES = TRIPLES + PAIRS + ALL_BUT_ONE[5] + ALL_BUT_ONE[6]
+SPANS = [starts[-1] + size for size, starts in SHAPES]
 
-def _shapes() -> list[tuple[int, ...]]:
-    """Compared positions: the masks, then whole items shorter than the longest mask."""
-    masks = [tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS]
-    return masks + [tuple(range(n)) for n in range(LEAST_WORDS, max(map(len, MASKS)))]
-
-
-SHAPES = _shapes()
-SPANS = [len(m) for m in MASKS] + list(range(LEAST_WORDS, max(map(len, MASKS))))
 
-
-def seed_hashes(hashes: np.ndarray, shape: int) -> np.ndarray:
-    """The hash of one shape at every position where it fits."""
-    n = len(hashes) - SPANS[shape] + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    total = np.full(n, (shape + 1) * 0x9E3779B97F4A7C15 % 2**64, np.uint64)
-    for offset in SHAPES[shape]:
+def block_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of the ``size`` words from every position on."""
+    n = max(0, len(hashes) - size + 1)
+    total = np.zeros(n, np.uint64)
+    for offset in range(size):
         total *= np.uint64(0x100000001B3 * 0x10001 + 0xD6)
         total += hashes[offset : offset + n]
-    return mixed(total)
+    return total if size == 1 else mixed(total)
+
+
+def seed_hashes(hashes: np.ndarray, shapes: list[int]) -> list[np.ndarray]:
+    """The hashes of each shape at every position where it fits."""
+    blocks = {size: block_hashes(hashes, size) for size in {SHAPES[i][0] for i in shapes}}
+    out = []
+    for shape in shapes:
+        size, starts = SHAPES[shape]
+        n = max(0, len(hashes) - SPANS[shape] + 1)
+        total = np.full(n, (shape + 1) * 0x9E3779B97F4A7C15 % 2**64, np.uint64)
+        for start in starts:
+            total *= np.uint64(0x100000001B3 * 0x10001 + 0xD6)
+            total += blocks[size][start : start + n]
+        out.append(mixed(total))
+    return out
 
 
 def item_shapes(length: int) -> list[int]:
-    """The masks that fit, and for items shorter than the longest mask the shape of the whole item."""
-    fits = [i for i in range(len(MASKS)) if SPANS[i] <= length]
-    return fits + [i for i in range(len(MASKS), len(SHAPES)) if SPANS[i] == length]
+    """The seeds that together hit every window of an item that may agree."""
+    if length >= 12 or length == 9:
+        family = TRIPLES
+    elif length >= 8:
+        family = PAIRS
+    else:
+        family = ALL_BUT_ONE[min(length, 6)] if length >= LEAST_WORDS else []
+    return [SHAPES.index(shape) for shape in family if shape[1][-1] + shape[0] <= length]
 
 
 def benchmark_seeds(items: DataFrame) -> DataFrame:
@@ -72,8 +93,9 @@ def benchmark_seeds(items: DataFrame) -> DataFrame:
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 hashes = known.of(words(text.as_py()))
-                for shape in item_shapes(len(hashes)):
-                    keys = seed_hashes(hashes, shape).view(np.int64)
+                shapes = item_shapes(len(hashes))
+                for shape, found in zip(shapes, seed_hashes(hashes, shapes), strict=True):
+                    keys = found.view(np.int64)
                     n = len(keys)
                     yield pa.RecordBatch.from_pydict({"item_id": np.full(n, item, np.int64), "at": np.arange(n), "key": keys, "shape": np.full(n, shape)})
 
@@ -100,8 +122,7 @@ def document_hits(docs: DataFrame, map_: np.ndarray, shapes: list[int]) -> DataF
             for doc, text in zip(ids, batch.column(1), strict=True):
                 hashes = known.of(words(text.as_py()))
                 found, at = [], []
-                for shape in shapes:
-                    keys = seed_hashes(hashes, shape)
+                for keys in seed_hashes(hashes, shapes):
                     here = np.flatnonzero(passes(bit_map, keys))
                     found.append(keys[here])
                     at.append(here)
@@ -140,15 +161,18 @@ def overlap(document: np.ndarray, start: int, item: np.ndarray, diagonal: int) -
     ``document`` holds the hashes from word ``start`` on; word d of the document faces word d - diagonal of the item.
     """
     low, high = max(start, diagonal), min(start + len(document), diagonal + len(item))
-    window = min(WINDOW, len(item))
-    if high - low < window or window < LEAST_WORDS:
+    least = min(PASSAGE, len(item))
+    if high - low < least or least < LEAST_WORDS:
         return None
     same = document[low - start : high - start] == item[low - diagonal : high - diagonal]
     total = np.concatenate([[0], np.cumsum(same)])
-    good = np.flatnonzero(total[window:] - total[:-window] >= IDENTITY * window)
-    if not len(good):
+    first, last = len(same), 0
+    for window in range(least, min(WINDOW, len(item), high - low) + 1):
+        good = np.flatnonzero(total[window:] - total[:-window] >= IDENTITY * window)
+        if len(good):
+            first, last = min(first, int(good[0])), max(last, int(good[-1]) + window)
+    if not last:
         return None
-    first, last = int(good[0]), int(good[-1]) + window
     agree = np.flatnonzero(same[first:last])
     first, last = first + int(agree[0]), first + int(agree[-1]) + 1  # ends on words that agree
     return low + first, low + last, len(agree)
