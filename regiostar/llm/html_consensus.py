@@ -4,9 +4,11 @@ A page is read once, tolerantly, into blocks of text, each with the path of its
 numbers in class names generalised, ids left out. Boilerplate subtrees (navigation, headers, footers, sidebars,
 notices, adverts, forms, scripts, comments) are recognised by tag, role or class and belong to no container. Every
 container gets a score: the plain text directly in its blocks counts fully, that of nested containers by half per
-level, text in links counts against it. A page votes for the path of its best container; votes are summed per host in
-Spark. In a second step every page is extracted again with its host's winning path; a page without that path uses its
-own best container.
+level, text in links counts against it. The best container then climbs to what holds the rest of its article: the
+outermost article around it, else main; a main with text of its own outside the article; without either, an ancestor
+with text of its own (the body only with a headline of its own) or with other sections beside the best one. A page
+votes for the path it has climbed to; votes are summed per host in Spark. In a second step every page is extracted
+again with its host's winning path; a page without that path, or without text below it, uses its own best container.
 
 The text of a block has its character references decoded and white space turned into single blanks; blocks are joined
 in page order by blank lines. A line break inside a block is white space.
@@ -199,12 +201,61 @@ def container_scores(elements: list[Element], blocks: list[tuple[int, str, int]]
     return scores
 
 
+def climbed(elements: list[Element], blocks: list[tuple[int, str, int]], best: int) -> str:
+    """Path of the container that holds the rest of the best one's article; the empty path is the page."""
+    own: dict[str, float] = defaultdict(float)  # text directly in a container; a headline counts even as a link
+    headed: set[str] = set()
+    within: dict[tuple[str, str], float] = defaultdict(float)  # text of a section, by the paths of its parent and its own
+    for place, text, linked in blocks:
+        worth, head, direct = len(text) - 2.0 * linked, False, True
+        while place >= 0:
+            element = elements[place]
+            head = head or element.tag == "h1"
+            if direct and (element.tag in CONTAINERS or place == 0):
+                own[element.path] += len(text) if head else worth
+                if head:
+                    headed.add(element.path)
+                direct = False
+            if element.tag == "section":
+                within[elements[element.parent].path, element.path] += worth
+            place = element.parent
+    parts: dict[str, int] = defaultdict(int)
+    for (parent, _), worth in within.items():
+        parts[parent] += worth > 0
+    chosen, at = best, elements[best].parent
+    found = {elements[best].tag} & {"article", "main"}
+    below = elements[best].tag
+    while at >= 0:
+        element = elements[at]
+        if element.tag == "article":
+            take = True
+        elif element.tag == "main":
+            take = not found or own[element.path] > 0
+        elif found:
+            take = False
+        else:
+            take = below == "section" and parts[element.path] > 1
+            if element.tag == "body":
+                take = take or element.path in headed
+            elif element.tag in CONTAINERS:
+                take = take or own[element.path] > 0
+        if take:
+            chosen = at
+            found |= {element.tag} & {"article", "main"}
+        below, at = element.tag, element.parent
+    return elements[chosen].path
+
+
 def best_container(elements: list[Element], blocks: list[tuple[int, str, int]]) -> tuple[str, float] | None:
-    """Path and score of the best container; the path's scores are added, as an article may be cut into like parts."""
+    """Path and score of the best container, climbed to its article; the path's scores are added, as an article may be cut into like parts."""
     totals: dict[str, float] = defaultdict(float)
     for place, score in container_scores(elements, blocks).items():
         totals[elements[place].path] += score
-    return max(totals.items(), key=lambda x: (x[1], [-ord(c) for c in x[0]])) if totals else None
+    if not totals:
+        return None
+    path, score = max(totals.items(), key=lambda x: (x[1], [-ord(c) for c in x[0]]))
+    best = next(i for i, e in enumerate(elements) if e.path == path and not e.skipped)
+    return climbed(elements, blocks, best), score
 
 
 def extract(html: str | None, path: str | None) -> str:
@@ -212,11 +263,16 @@ def extract(html: str | None, path: str | None) -> str:
     if not html:
         return ""
     elements, blocks = parse(html)
-    inside = _inside(elements, path) if path else None
-    if not inside:
+    found = _texts(elements, blocks, path) if path is not None else []
+    if not found:
         own = best_container(elements, blocks)
-        inside = _inside(elements, own[0]) if own else None
-    return "\n\n".join(t for place, t, _ in blocks if inside is None or place in inside)
+        found = _texts(elements, blocks, own[0]) if own else [t for _, t, _ in blocks]
+    return "\n\n".join(found)
+
+
+def _texts(elements: list[Element], blocks: list[tuple[int, str, int]], path: str) -> list[str]:
+    inside = _inside(elements, path) or ()
+    return [t for place, t, _ in blocks if place in inside]
 
 
 def _inside(elements: list[Element], path: str) -> set[int] | None:
