@@ -18,8 +18,8 @@ positions that pass, with the word hashes around them, go to the join, which is
 
 Items of fewer than ``LEAST_WORDS`` words are never reported.
 
-Defined results: null and empty texts have no overlaps; rows with a null id take no part and are not contaminated;
-repeated documents and items are judged each, a pair of ids gives one row; empty tables give an empty result; other
+Defined results: null and empty texts have no overlaps; ``overlaps`` leaves out rows with a null id, ``clean`` judges
+every row by its own id and text, null ids included; repeated documents and items are judged each, a pair of ids gives one row; empty tables give an empty result; other
 columns, clashing names included, are ignored.
 """
 
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiostar.llm.common import WordHashes, filter_bits, key_filter, mixed, passes, small_batches, words
+from regiostar.llm.weighted_minhash import row_key
 from regiostar.session import materialize
 
 LEAST_WORDS = 5
@@ -222,5 +223,6 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a verified overlap, all columns as they were."""
-    tainted = materialize(overlaps(docs, items).select(F.col("doc_id").alias("_tainted_id")).distinct(), "tainted")
-    return docs.join(tainted, F.col("doc_id") == F.col("_tainted_id"), "left_anti")
+    found = overlaps(docs.select(row_key().alias("doc_id"), "text"), items)
+    tainted = materialize(found.select(F.col("doc_id").alias("_tainted_row")).distinct(), "tainted")
+    return docs.join(tainted, row_key() == F.col("_tainted_row"), "left_anti")
