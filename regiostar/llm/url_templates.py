@@ -3,7 +3,8 @@
 Every path becomes a sequence of segments; numbers, identifiers and file endings inside a segment are generalised
 first. The tree is then built level by level on distinct (host, path shape) rows, never on single pages:
 
-- a segment position with many rarely repeated values becomes the wildcard ``*``;
+- a segment position with many values, of which each has few of the distinct shapes below or none has much of them,
+  becomes the wildcard ``*``; repeated pages do not count;
 - sibling branches whose labelled block rate does not differ significantly from that of their siblings taken
   together (two-proportion test) are merged into one branch ``~``; the others stay apart.
 
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from regiostar.session import materialize
 
 DEPTH = 6
-#: A position is variable if it has at least so many values, and so many values for each row.
+#: A position is variable if it has at least so many values, and so many for each distinct shape below it, or if its
+#: values count, by their shares of the shapes, as at least MANY / VARIETY equally frequent ones.
 MANY, VARIETY = 16, 0.2
 Z = 1.96
 PRIOR = 4.0
@@ -78,16 +80,19 @@ def templates(labelled: DataFrame) -> DataFrame:
         if not rows.where(F.col("value").isNotNull()).take(1):
             break
         children = rows.where(F.col("value").isNotNull()).groupBy("host", "template", "value").agg(
-            F.sum("n").alias("n"), F.sum("n_block").alias("b"), F.sum("n_labelled").alias("l")
+            F.count("*").alias("shapes"), F.sum("n_block").alias("b"), F.sum("n_labelled").alias("l")
         )
         nodes = children.groupBy("host", "template").agg(
-            F.count("value").alias("kinds"), F.sum("n").alias("all_n"), F.sum("b").alias("all_b"), F.sum("l").alias("all_l")
+            F.count("value").alias("kinds"), F.sum("shapes").alias("all_shapes"),
+            F.sum(F.col("shapes").cast("double") * F.col("shapes")).alias("squares"), F.sum("b").alias("all_b"), F.sum("l").alias("all_l")
         )
         pooled = F.try_divide(F.col("all_b"), F.col("all_l"))
         error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), F.col("l")) + F.try_divide(F.lit(1.0), F.col("all_l"))))
         apart = F.when((F.col("l") > 0) & (F.col("all_l") > F.col("l")), F.abs(F.try_divide(F.col("b"), F.col("l")) - pooled) > Z * error).otherwise(F.col("l") > 0)
+        few_each = F.col("kinds") >= VARIETY * F.col("all_shapes")
+        spread = F.col("all_shapes").cast("double") * F.col("all_shapes") >= MANY / VARIETY * F.col("squares")
         branch = (
-            F.when((F.col("kinds") >= MANY) & (F.col("kinds") >= VARIETY * F.col("all_n")), F.lit("*"))
+            F.when((F.col("kinds") >= MANY) & (few_each | spread), F.lit("*"))
             .when((F.col("kinds") > 1) & ~F.coalesce(apart, F.lit(False)) & (F.col("l") > 0), F.lit("~"))
             .otherwise(F.col("value"))
         )
