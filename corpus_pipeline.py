@@ -42,7 +42,8 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: No SQL for trained scores, samples of hashes and files; tests/llm compares the stages with brute force.
+#: No SQL for trained scores, samples of hashes and files; tests/llm compares near duplicates, overlaps and token files with
+#: brute force, checks properties of scores and mixing, and compares no result of run().
 ORACLE_SQL = None
 
 
