@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiostar.llm import (
+    block_naming,
     block_topk,
+    chunk_fim,
     collection_bwt,
     html_consensus,
     pareto_mix,
     spaced_seeds,
+    stripes,
     token_files,
     toxic_segments,
     unit_dedup,
@@ -74,10 +77,25 @@ def op10_block_topk(spark: SparkSession, folder: str) -> DataFrame:
     return block_topk.top_k(vectors, vectors.where(F.pmod("id", F.lit(50)) == 0))
 
 
+def op11_chunk_fim(spark: SparkSession, folder: str) -> DataFrame:
+    found = chunk_fim.transformed(table(spark, folder, "documents"))
+    digests = (F.sha2("output", 256).alias("output_sha256"), F.sha2(chunk_fim.restored(), 256).alias("restored_sha256"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op12_block_naming(spark: SparkSession, folder: str) -> DataFrame:
+    return block_naming.dedup(table(spark, folder, "documents"))
+
+
+def op13_stripes(spark: SparkSession, folder: str) -> DataFrame:
+    return stripes.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_templates, op2_html_consensus, op3_spaced_seeds, op4_pareto_mix, op5_toxic_segments, op6_collection_bwt,
-        op7_weighted_minhash, op8_line_dedup, op9_token_files, op10_block_topk,
+        op7_weighted_minhash, op8_line_dedup, op9_token_files, op10_block_topk, op11_chunk_fim,
+        op12_block_naming, op13_stripes,
     )
 }
