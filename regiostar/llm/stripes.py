@@ -7,10 +7,10 @@ the count of its prefix, and its largest element is the largest phrase that exte
 maximum by the elements' last words gives the largest extension to the left.
 
 Only phrases that can be frequent get elements. Rounds for one to four words add the hashes of phrases to cells, of
-which there are about as many as bytes of text (at most 2**``MOST_BITS``); a phrase whose cell holds fewer than
+which there are an eighth to a quarter as many as bytes of text (at most 2**``MOST_BITS``); a phrase whose cell holds fewer than
 ``least`` occurrences, or whose first or last words fail, is rare. Cells only rule phrases out, the merged counts of the
 words themselves decide, so collisions cost work and never change a result. Once the text is far beyond the cells, they
-rule little out, and the merge sees about four elements a word, combined per ``SEGMENT`` of text.
+rule little out, and the merge sees up to four elements a word, combined inside each task.
 
 A stripe is merged as rows of its elements, combined inside tasks before the shuffle, so the stripe of a very common
 prefix is spread over all tasks. Joins of phrases with stripe totals are joins of written tables, whose hot keys
@@ -23,6 +23,7 @@ count each; texts without phrases add nothing; an empty table gives an empty res
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,39 +37,66 @@ from regiostar.llm.common import mixed, passes, small_batches
 from regiostar.session import materialize
 
 LONGEST = 4
-SEGMENT = 8 << 20
-LEAST_BITS, MOST_BITS = 20, 29
-LOW_BITS = 16
+SEGMENT = 4 << 20
+LEAST_BITS, MOST_BITS = 24, 28
+#: Stripes that a task hands over at a time.
+HANDED = 20_000
+RANGE_BITS = 8
 SHARES = 64
 NEXT = np.uint64(0x9FB21C651E98DF25)
 
-#: What a byte is: 0 part of a word, 1 a blank between words, 2 the end of a piece.
-KINDS = np.zeros(256, np.uint8)
-KINDS[[0x20, 0x09]] = 1
-KINDS[[ord(c) for c in ".,;:!?\n\x0b\f\r"]] = 2
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
+BLANKS, ENDS = b" \t", b".,;:!?\n\x0b\f\r"
+#: For ``bytes.translate``: what a byte is (0 part of a word, 1 a blank between words, 2 the end of a piece).
+KINDS = bytes(1 if b in BLANKS else 2 if b in ENDS else 0 for b in range(256))
+PLACES = mixed(np.arange(1000, 1000 + 4096, dtype=np.uint64)) | np.uint64(1)
+
+
+def kinds_of(data: np.ndarray) -> np.ndarray:
+    return np.frombuffer(data.tobytes().translate(KINDS), np.uint8)
 
 
 class Words:
-    """The words of a run of whole pieces: number in ``vocabulary``, piece and language of each."""
+    """The words of a run of whole pieces: a hash of word and language, the piece and the language of each."""
 
     def __init__(self, data: np.ndarray, starts_of_docs: np.ndarray, langs_of_docs: np.ndarray, langs: pa.Array):
-        kinds = KINDS[data]
+        kinds = kinds_of(data)
         inside = kinds == 0
         edges = np.diff(inside.view(np.int8), prepend=0, append=0)
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-        letters = LOWER[data[inside]]
-        found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
-        found = found.dictionary_encode()
-        self.vocabulary, self.langs = found.dictionary, langs
-        self.number = found.indices.to_numpy().astype(np.int64)
-        self.piece = np.cumsum(kinds == 2)[starts]
-        self.lang = langs_of_docs[np.searchsorted(starts_of_docs, starts, "right") - 1]
-        words = np.fromiter(map(xxhash.xxh64_intdigest, self.vocabulary.to_pylist()), np.uint64, len(self.vocabulary))
-        known = np.fromiter((xxhash.xxh64_intdigest(x, 1) for x in langs.to_pylist()), np.uint64, len(langs))
-        self.hashes = [mixed(words[self.number] ^ known[self.lang])]
+        self.letters = np.frombuffer(data[inside].tobytes().lower(), np.uint8)  # of bytes, A to Z only
+        self.lengths, self.langs = ends - starts, langs
+
+        def numbered(borders: np.ndarray) -> np.ndarray:
+            """For each word the number of borders before it."""
+            return np.repeat(np.arange(len(borders) + 1, dtype=np.int32), np.diff(np.searchsorted(starts, borders), prepend=0, append=len(starts)))
+
+        self.piece = numbered(np.flatnonzero(kinds == 2))
+        self.lang = langs_of_docs[numbered(starts_of_docs[1:])]
+        self.hashes = [np.empty(0, np.uint64)]
+        if len(starts):
+            first = np.cumsum(self.lengths) - self.lengths
+            place = np.arange(len(self.letters)) - np.repeat(first, self.lengths)
+            sums = np.add.reduceat(PLACES[place & (len(PLACES) - 1)] * (self.letters + np.uint64(1)), first)
+            known = np.fromiter((xxhash.xxh64_intdigest(x) for x in langs.to_pylist()), np.uint64, len(langs))
+            self.hashes = [mixed(sums ^ known[self.lang])]
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+    @cached_property
+    def _encoded(self) -> pa.DictionaryArray:
+        offsets = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_binary(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(self.letters)])
+        return words.dictionary_encode()
+
+    @property
+    def vocabulary(self) -> pa.Array:
+        return self._encoded.dictionary
+
+    @cached_property
+    def number(self) -> np.ndarray:
+        """Each word's place in the vocabulary."""
+        return self._encoded.indices.to_numpy()
 
     def hash(self, m: int) -> np.ndarray:
         """Of the phrase of ``m`` words at each place, whether or not it stays inside one piece."""
@@ -82,9 +110,10 @@ class Words:
 
         The last has no map of its own: both phrases inside it that are one word shorter can be frequent.
         """
-        found = [np.ones(len(self.number), bool)]
+        found = [np.ones(len(self), bool)]
         for m, cells in enumerate(maps, 1):
-            found[-1] &= passes(cells, self.hash(m))
+            at = np.flatnonzero(found[-1])
+            found[-1][at] = passes(cells, self.hash(m)[at])
             shorter = found[-1]
             found.append(shorter[:-1] & shorter[1:] & (self.piece[:-m] == self.piece[m:]) if len(shorter) > 1 else shorter[:0])
         return found
@@ -107,12 +136,12 @@ def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
         while start < len(data):
             stop = start + SEGMENT
             if stop < len(data):
-                ends = np.flatnonzero(KINDS[data[start:stop]] == 2)
+                ends = np.flatnonzero(kinds_of(data[start:stop]) == 2)
                 if len(ends):
                     stop = start + int(ends[-1]) + 1
                 else:  # one piece longer than a segment
-                    while stop < len(data) and KINDS[data[stop - 1]] != 2:
-                        ends = np.flatnonzero(KINDS[data[stop : stop + SEGMENT]] == 2)
+                    while stop < len(data) and data[stop - 1] not in ENDS:
+                        ends = np.flatnonzero(kinds_of(data[stop : stop + SEGMENT]) == 2)
                         stop = stop + int(ends[0]) + 1 if len(ends) else stop + SEGMENT
             yield Words(data[start:stop], starts_of_docs - start, langs_of_docs, langs.dictionary)
             start = stop
@@ -130,10 +159,10 @@ def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
 def _cells(texts: DataFrame, maps: list, bits: int, least: int) -> np.ndarray:
     """A bit map of the cells with ``least`` or more phrases of ``len(maps) + 1`` words.
 
-    A task sends, for each range of 2**``LOW_BITS`` cells, the low bits of the cells met and their counts up to
-    ``least``; the driver receives 2**(bits - 3) bytes.
+    A task sends, for each of 2**``RANGE_BITS`` ranges of cells, the low 16 bits of the cells met, how many there are for
+    each value of the bits above, and the cells' counts up to ``least``; the driver receives 2**(bits - 3) bytes.
     """
-    m, kind = len(maps) + 1, np.min_scalar_type(least)
+    m, kind, inner = len(maps) + 1, np.min_scalar_type(least), bits - RANGE_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shorter = [x.value for x in maps]
@@ -142,38 +171,40 @@ def _cells(texts: DataFrame, maps: list, bits: int, least: int) -> np.ndarray:
             cells = np.sort((words.hash(m)[at] >> np.uint64(64 - bits)).astype(np.uint32))
             first = np.flatnonzero(np.diff(cells, prepend=np.int64(-1)))
             met, counts = cells[first], np.minimum(np.diff(first, append=len(cells)), least).astype(kind)
-            ranges, begins = np.unique(met >> np.uint32(LOW_BITS), return_index=True)
-            cuts = [*begins.tolist(), len(met)]
-            low = met.astype(np.uint16)
-            packed = [(low[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ranges.astype(np.int32)), pa.array([x for x, _ in packed], pa.binary()), pa.array([x for _, x in packed], pa.binary())],
-                ["range", "low", "counts"],
-            )
+            low, rows = met.astype(np.uint16), []
+            cuts = np.searchsorted(met, np.arange((1 << RANGE_BITS) + 1, dtype=np.int64) << inner).tolist()
+            for number, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                if a < b:
+                    above = np.bincount((met[a:b] >> np.uint32(16)) & np.uint32((1 << inner - 16) - 1), minlength=1 << inner - 16)
+                    rows.append((number, above.astype("<u4").tobytes(), low[a:b].tobytes(), counts[a:b].tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), sent, strict=True)], ["range", "above", "low", "counts"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, total = None, np.zeros(1 << LOW_BITS, np.int64)
+        current, total = None, np.zeros(1 << inner, np.int64)
 
         def done():
             packed = np.packbits(total >= least, bitorder="little").tobytes()
             return pa.RecordBatch.from_pydict({"range": pa.array([current], pa.int32()), "bits": pa.array([packed], pa.binary())})
 
         for batch in batches:
-            for number, low, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            for number, *packed in zip(batch.column(0).to_pylist(), *(batch.column(k) for k in (1, 2, 3)), strict=True):
                 if number != current:
                     if current is not None:
                         yield done()
                     current = number
                     total[:] = 0
-                total[np.frombuffer(low.as_buffer(), np.uint16)] += np.frombuffer(counts.as_buffer(), kind)
+                above, low, counts = (np.frombuffer(x.as_buffer(), t) for x, t in zip(packed, ("<u4", np.uint16, kind), strict=True))
+                total[np.repeat(np.arange(len(above)) << 16, above) + low] += counts
         if current is not None:
             yield done()
 
+    sent = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = texts.mapInArrow(count, "range int, low binary, counts binary").repartition(parts, "range").sortWithinPartitions("range")
-    found = sent.mapInArrow(merge, "range int, bits binary").toArrow()
+    counted = texts.mapInArrow(count, "range int, above binary, low binary, counts binary")
+    found = counted.repartition(parts, "range").sortWithinPartitions("range").mapInArrow(merge, "range int, bits binary").toArrow()
     map_ = np.zeros(1 << (bits - 3), np.uint8)
-    size = 1 << (LOW_BITS - 3)
+    size = 1 << (inner - 3)
     for number, packed in zip(found.column("range").to_pylist(), found.column("bits"), strict=True):
         map_[number * size : (number + 1) * size] = np.frombuffer(packed.as_buffer(), np.uint8)
     return map_.view("<u8")
@@ -189,14 +220,14 @@ def _phrases(words: Words, at: np.ndarray, m: int) -> pa.Array:
 
 
 def _stripes(words: Words, maps: list[np.ndarray], longest: int) -> Iterator[pa.RecordBatch]:
-    """One record batch per length: prefix, following words (null: none that can be frequent) and their counts."""
+    """Prefix, following words (null: none that can be frequent) and their counts, for each length of the prefix."""
     possible = words.possible(maps)
     nothing = len(words.vocabulary)
     for m in range(1, longest + 1):
-        at = np.flatnonzero(possible[m - 2]) if m > 1 else np.arange(len(words.number))
+        at = np.flatnonzero(possible[m - 2]) if m > 1 else np.arange(len(words))
         if not len(at):
             continue
-        goes_on = np.zeros(len(words.number), bool)
+        goes_on = np.zeros(len(words), bool)
         goes_on[: len(possible[m - 1])] = possible[m - 1]
         follows = np.full(len(at), nothing)
         follows[goes_on[at]] = words.number[at[goes_on[at]] + m - 1]
@@ -213,16 +244,16 @@ def _stripes(words: Words, maps: list[np.ndarray], longest: int) -> Iterator[pa.
         texts = words.vocabulary.take(pa.array(following, mask=following == nothing)).cast(pa.binary()).cast(pa.string())
         counts = pa.array(np.diff(element, append=len(at)).astype(np.int64))
         bounds = pa.array(np.append(np.searchsorted(element, stripe), len(element)).astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
+        found = pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(len(stripe), m, np.int32)),
                 words.langs.take(pa.array(words.lang[at[stripe]])),
                 _phrases(words, at[stripe], m - 1),
-                pa.ListArray.from_arrays(bounds, texts),
-                pa.ListArray.from_arrays(bounds, counts),
+                *(pa.ListArray.from_arrays(bounds, x) for x in (texts, counts)),
             ],
             ["m", "lang", "prefix", "next", "n"],
         )
+        yield from (found.slice(k, HANDED) for k in range(0, len(stripe), HANDED))
 
 
 def merged(docs: DataFrame, least: int = 30, longest: int = LONGEST) -> DataFrame:
@@ -231,7 +262,7 @@ def merged(docs: DataFrame, least: int = 30, longest: int = LONGEST) -> DataFram
     sc = docs.sparkSession.sparkContext
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    bits = min(MOST_BITS, max(LEAST_BITS, size.bit_length() - 2))
+    bits = min(MOST_BITS, max(LEAST_BITS, size.bit_length() - 3))
     maps = []
     for _ in range(longest):
         maps.append(sc.broadcast(_cells(texts, maps, bits, least)))

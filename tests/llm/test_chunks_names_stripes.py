@@ -136,7 +136,6 @@ def plain_collocations(texts, langs, least, top, subsumed):
 @pytest.mark.parametrize("segment", [8 << 20, 300])
 def test_collocations_of_random_texts(spark, monkeypatch, segment):
     monkeypatch.setattr(stripes, "SEGMENT", segment)
-    monkeypatch.setattr(stripes, "LEAST_BITS", 16)
     monkeypatch.setattr(stripes, "SHARES", 3)
     rng = random.Random(5)
     words = ["a", "B", "É", "é", "new", "York", "city", "日本", "x\x00", "z,", " "]
