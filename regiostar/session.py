@@ -59,3 +59,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of materialised tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{work_root(spark)}/regiostar")
+        store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        own = str(store.makeQualified(root)) + "/"
+        for folder in {file[: file.rindex("/")] for file in table.inputFiles()}:
+            path = store.makeQualified(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder))
+            if not str(path).startswith(own):
+                raise ValueError(f"{folder} is no intermediate table")
+            store.delete(path, True)
