@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiostar.llm.common import filter_bits, key_filter, mixed, passes, small_batches
-from regiostar.session import materialize
+from regiostar.session import discard, materialize
 
 LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM  # the anchor lies at most so far right of a window's start
@@ -286,6 +286,7 @@ def covered(docs: DataFrame) -> DataFrame:
     """doc, h, parts (first, span, mask) of every document with late windows; without a mask all windows are late."""
     keys = materialize(repeated_anchors(docs), "repeated-anchors")
     found = materialize(occurrences(docs, _mixed_filter(keys), with_bytes=False), "reads")
+    discard(keys)
     at = F.struct("doc", "h", "first").alias("at")
     reads = found.groupBy("key", "read").agg(F.min(at).alias("at"), F.first("span").alias("span"), F.first("place").alias("place"), F.count("*").alias("n"))
     reads = materialize(reads, "distinct-reads")
@@ -298,9 +299,11 @@ def covered(docs: DataFrame) -> DataFrame:
     needed = materialize(joined.drop("at").dropDuplicates(["key", "read"]), "reads-with-bytes")
     late = late_reads(needed.where(F.col("kinds") <= HOT)).union(late_hot_reads(needed.where(F.col("kinds") > HOT)))
     late = materialize(late, "late-windows")
+    discard(needed, contested)
 
     judged = reads.where("n > 1").select("key", "read", "at").join(late, ["key", "read"], "full_outer")
     judged = materialize(judged, "judged-reads")
+    discard(reads, late)
     hits = found.join(judged, ["key", "read"])
     # The earliest occurrence loses the windows of its mask, every other one loses all.
     earliest = F.col("at").isNull() | (F.struct("doc", "h", "first") == F.col("at"))
