@@ -9,8 +9,9 @@ units AS (
     coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM pieces),
 judged AS (
-  SELECT *, len(string_split(unit, ' ')) >= 5 AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos) > 1 AS late FROM units)
-SELECT doc_id, CAST(count(*) AS BIGINT) AS n_units, CAST(count(*) FILTER (late) AS BIGINT) AS n_removed,
+  SELECT *, unit <> '' AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos) > 1 AS late FROM units)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_units, CAST(count(*) FILTER (late) AS BIGINT) AS units_removed,
+  CAST(coalesce(sum(length(line)) FILTER (late), 0) AS BIGINT) AS n_removed,
   coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(line) AS BIGINT), ',' ORDER BY pos) FILTER (late), '') AS removed,
   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT late), '') AS kept_text
 FROM judged GROUP BY doc_id

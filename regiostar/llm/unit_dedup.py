@@ -4,7 +4,8 @@ Units are the lines of a text. A unit is normalised (lower case, runs of blanks
 two independent 64-bit digests. All units but empty ones are grouped by digest over the whole table, however short;
 the earliest occurrence (smallest document id, then smallest unit number) is kept and the others are removed, with
 their offsets in the original text retained. Grouping is a minimum per digest, combined inside each task before the
-shuffle, so a line that a third of all documents share costs one row per task.
+shuffle; the join of all occurrences with the repeated digests is one of written tables, whose hot keys adaptive
+execution splits. The cut itself takes time in proportion to the text.
 
 Defined results: a null text counts as empty; rows with a null id come last in rank; rows that share an id are ranked
 by their text's hash, rows that repeat id and text are one document and get the same result each; empty lines stay, and
@@ -13,9 +14,14 @@ units of fewer than ``least_words`` words (parted by blanks) if a caller asks fo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regiostar.llm.common import small_batches
 from regiostar.session import materialize
 
 LEAST_WORDS = 1
@@ -27,7 +33,8 @@ def normalised(unit: Column) -> Column:
 
 
 def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, n_units, n_removed, removed (array of start, end in characters), kept_text."""
+    """doc_id, n_units, units_removed, n_removed (code points), removed (array of start, end in code points), kept_text."""
+    small_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     named = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
     unit = F.col("unit")
@@ -40,30 +47,37 @@ def dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     listed = materialize(listed, "unit-digests")
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("h"), F.col("at"))
     first = listed.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    late = listed.join(first, ["d1", "d2"]).where(place != F.col("first"))
-    late = late.groupBy("doc_id", "h").agg(F.collect_set("at").alias("gone"))
-    joined = named.join(late.withColumnRenamed("doc_id", "late_id").withColumnRenamed("h", "late_h"), F.col("doc_id").eqNullSafe(F.col("late_id")) & (F.col("h") == F.col("late_h")), "left")
-    gone = F.coalesce("gone", F.array().cast("array<int>"))
-    split = F.split("text", "\n")
-    with_place = joined.select("doc_id", split.alias("units"), F.array_sort(gone).alias("gone"))
-    lengths = F.transform("units", lambda u: F.length(u) + 1)
-    # Starts of all units in one pass; a running sum kept as an array would be quadratic for long texts.
-    flagged = with_place.withColumn("keep", F.array_except(F.sequence(F.lit(0), F.size("units") - 1), F.col("gone")))
-    kept = F.array_join(F.transform("keep", lambda i: F.element_at("units", i + 1)), "\n")
-    spans = F.transform("gone", lambda i: F.struct(i.alias("unit"), F.element_at("lengths", i + 1).alias("length")))
-    out = flagged.withColumn("lengths", lengths)
-    starts = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("unit"), F.lit(0).alias("offset"), F.array().cast("array<struct<start:int,end:int>>").alias("found")),
-        lambda state, s: _next(state, s),
-        lambda state: state["found"],
+    # Both sides of a join come from written tables, so that a digest or a row that repeats very often can be split.
+    late = listed.join(materialize(first, "repeated-units"), ["d1", "d2"]).where(place != F.col("first"))
+    late = late.groupBy(F.col("doc_id").alias("late_id"), F.col("h").alias("late_h")).agg(F.collect_set("at").alias("gone"))
+    late = materialize(late, "late-units")
+    joined = named.join(late, F.col("doc_id").eqNullSafe(F.col("late_id")) & (F.col("h") == F.col("late_h")), "left")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return joined.select("doc_id", "text", "gone").mapInArrow(
+        _cut, f"doc_id {kind}, n_units long, units_removed long, n_removed long, removed array<struct<start:int,end:int>>, kept_text string"
     )
-    return out.select("doc_id", F.size("units").cast("long").alias("n_units"), F.size("gone").cast("long").alias("n_removed"), starts.alias("removed"), kept.alias("kept_text"))
 
 
-def _next(state: Column, span: Column) -> Column:
-    """Advance the offset over the units since the last removed one and note the removed one's place."""
-    between = F.slice("lengths", state["unit"] + 1, span["unit"] - state["unit"])
-    start = state["offset"] + F.aggregate(between, F.lit(0), lambda total, n: total + n)
-    found = F.concat(state["found"], F.array(F.struct(start.alias("start"), (start + span["length"] - 1).alias("end"))))
-    return F.struct((span["unit"] + 1).alias("unit"), (start + span["length"]).alias("offset"), found.alias("found"))
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Take the lines numbered in ``gone`` out of each text; starts come from one running sum of lengths."""
+    spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for batch in batches:
+        units, taken, points, removed, kept = [], [], [], [], []
+        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            lines, out = text.split("\n"), sorted(gone or ())
+            units.append(len(lines))
+            taken.append(len(out))
+            if out:
+                ends = list(accumulate((len(line) + 1 for line in lines)))
+                places = [{"start": ends[i] - len(lines[i]) - 1, "end": ends[i] - 1} for i in out]
+                late = set(out)
+                text = "\n".join([line for i, line in enumerate(lines) if i not in late])
+            else:
+                places = []
+            points.append(sum(x["end"] - x["start"] for x in places))
+            removed.append(places)
+            kept.append(text)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(units, pa.int64()), pa.array(taken, pa.int64()), pa.array(points, pa.int64()), pa.array(removed, spans), pa.array(kept, pa.string())],
+            ["doc_id", "n_units", "units_removed", "n_removed", "removed", "kept_text"],
+        )

@@ -17,18 +17,19 @@ from regiostar.llm import (
 )
 from regiostar.llm.queries import RULES, tokenizer_file
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, key string, h long, v string, label string, size long"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, key string, h long, v string, label string, size long, _row string, own long, whole string, _gone string"
 LABELS = "doc_id long, quality int, toxic int, text string"
 LONG = " ".join(f"word{i % 977}x{i}" for i in range(30_000))
 ROWS = [
-    (1, "one two three four five six seven eight", "en", "a", 3, "r", "k", 1, "v", "l", 9),
-    (1, "one two three four five six seven eight", "en", "a", 3, "r", "k", 1, "v", "l", 9),
+    (1, "one two three four five six seven eight", "en", "a", 3, "r", "k", 1, "v", "l", 9, "r", 1, "w", "g"),
+    (1, "one two three four five six seven eight", "en", "a", 3, "r", "k", 1, "v", "l", 9, "r", 1, "w", "g"),
     (2, "ONE two three four five six seven eight", "en", None, None, None, None, None, None, None, None),
     (3, None, None, None, None, None, None, None, None, None, None),
-    (4, "", "en", "b", 0, "r", "k", 1, "v", "l", 0),
-    (None, "a text without an id, that is long enough to be judged", "en", "b", 0, "r", "k", 1, "v", "l", 0),
-    (5, LONG, "en", "b", 0, "r", "k", 1, "v", "l", 0),
+    (4, "", "en", "b", 0, "r", "k", 1, "v", "l", 0, "r", 1, "w", "g"),
+    (None, "a text without an id, that is long enough to be judged", "en", "b", 0, "r", "k", 1, "v", "l", 0, "r", 1, "w", "g"),
+    (5, LONG, "en", "b", 0, "r", "k", 1, "v", "l", 0, "r", 1, "w", "g"),
 ]
+ROWS = [(*r, *(None,) * (15 - len(r))) for r in ROWS]
 
 
 @pytest.fixture(params=[ROWS, []], ids=["rows", "empty"])
@@ -53,6 +54,18 @@ def test_mix(docs):
     assert pareto_mix.mixed(docs).columns == docs.columns
 
 
+def test_mix_takes_some_of_equal_rows(spark):
+    rows = [(1, "one two three", "en", "a")] * 3000 + [(i, f"other words {i}", "en", "b") for i in range(2, 1002)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = pareto_mix.mix(docs, weights=(1, 3), share=pareto_mix.Fraction(5, 6))
+    for source in ("a", "b"):
+        own = found.where("size > 0").join(docs.select("doc_id", "source").distinct(), "doc_id").where(f"source = '{source}'").collect()
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 3
+        assert all(r.taken <= 2 * r.size for r in own)
+    copies = pareto_mix.mixed(docs, weights=(1, 3), share=pareto_mix.Fraction(5, 6))
+    assert copies.where("source = 'a'").count() * 3 == found.where("doc_id = 1").agg({"taken": "sum"}).first()[0]
+
+
 def test_toxicity(docs, labels):
     found = toxic_segments.toxicity(docs, labels)
     assert found.count() == docs.count()
@@ -93,7 +106,7 @@ def test_lines(docs):
     found = unit_dedup.dedup(docs)
     assert found.count() == docs.count()
     if docs.count():
-        assert by_id(found)[2].n_removed == 1 and by_id(found)[2].kept_text == "" and by_id(found)[1].n_removed == 0
+        assert by_id(found)[2].units_removed == 1 and by_id(found)[2].n_removed == 39 and by_id(found)[2].kept_text == "" and by_id(found)[1].n_removed == 0
         assert by_id(found)[3].kept_text == "" and by_id(found)[5].kept_text == LONG
 
 
