@@ -2,7 +2,9 @@
 
 A page is read once, tolerantly, into blocks of text, each with the path of its containers: tags with their classes,
 numbers in class names generalised, ids left out. Boilerplate subtrees (navigation, headers, footers, sidebars,
-notices, adverts, forms, scripts, comments) are recognised by tag, role or class and belong to no container. Every
+notices, adverts, forms, scripts, comments) are recognised by tag, role or class and belong to no container. A class or
+id is no proof: one that covers a headline, article or main part and more text than the rest of the page doesn't count,
+and no name counts on a page whose text lies below names only. Every
 container gets a score: the plain text directly in its blocks counts fully, that of nested containers by half per
 level, text in links counts against it. The best container then climbs to what holds the rest of its article: the
 outermost article around it, else main; a main with text of its own outside the article; without either, an ancestor
@@ -70,6 +72,8 @@ NAMES = re.compile(
     r"signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|repl(?:y|ies)|discussion|pagination|"
     r"pager|toolbar|skip-?link|copyright|legal|disclaimer|byline-?links|tags?|tagcloud)(?:$|[\s_\d-])", re.I,
 )
+#: Below this a text no longer moves a container's score.
+LEAST_SHARE = 2.0**-60
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -81,33 +85,98 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 class Element:
-    __slots__ = ("tag", "step", "skipped", "link", "path", "parent")
-
-    def __init__(self, tag: str, step: str, skipped: bool, link: bool, path: str, parent: int):
-        self.tag, self.step, self.skipped, self.link, self.path, self.parent = tag, step, skipped, link, path, parent
-
-
-def _element(tag: str, attrs: str, above: Element | None, parent: int) -> Element:
-    step, skipped = tag, tag in SKIPPED and tag not in ("header",) or tag == "header"
+    """``path`` is a number of the page's paths; ``named`` is the nearest element, itself included, that a name marks as boilerplate."""
+
+    __slots__ = ("tag", "step", "skipped", "link", "path", "parent", "named")
+
+    def __init__(self, tag: str, step: str, skipped: bool, link: bool, path: int, parent: int, named: int):
+        self.tag, self.step, self.skipped, self.link, self.path, self.parent, self.named = tag, step, skipped, link, path, parent, named
+
+
+class Paths:
+    """The distinct paths of a page as pairs of parent path and last step, so that memory grows with elements, not with depth."""
+
+    def __init__(self):
+        self.steps: list[tuple[int, str]] = [(-1, "")]
+        self.lengths = [0]
+        self.numbers: dict[tuple[int, str], int] = {}
+
+    def below(self, parent: int, step: str) -> int:
+        found = self.numbers.get((parent, step))
+        if found is None:
+            found = self.numbers[parent, step] = len(self.steps)
+            self.steps.append((parent, step))
+            self.lengths.append(self.lengths[parent] + len(step) + (parent > 0))
+        return found
+
+    def text(self, path: int) -> str:
+        steps = []
+        while path > 0:
+            path, step = self.steps[path]
+            steps.append(step)
+        return ">".join(reversed(steps))
+
+    def number(self, text: str) -> int:
+        """Of a path as text, -1 if the page doesn't have it."""
+        return next((i for i, n in enumerate(self.lengths) if n == len(text) and self.text(i) == text), -1)
+
+
+class Page:
+    """Elements in page order (the first stands for the page), their paths, and blocks: element, text, characters inside links."""
+
+    def __init__(self):
+        self.paths = Paths()
+        self.elements = [Element("body", "", False, False, 0, -1, 0)]
+        self.blocks: list[tuple[int, str, int]] = []
+        self.plain = 0
+        self.under: dict[int, int] = defaultdict(int)  # characters of text below a named element
+        self.titled: set[int] = set()  # named elements with a headline, article or main part below them
+
+    def overruled(self) -> set[int]:
+        """Named elements whose name can't mean boilerplate.
+
+        Such a one holds more text than the rest of the page, together with a headline, article or main part. Where
+        all text of a page lies below names, and none of them is of this kind, no name counts.
+        """
+        for i in range(len(self.elements) - 1, 0, -1):
+            if self.elements[i].named == i and (above := self.elements[self.elements[i].parent].named):
+                self.under[above] += self.under[i]
+                if i in self.titled:
+                    self.titled.add(above)
+        total = self.plain + sum(n for i, n in self.under.items() if not self.elements[self.elements[i].parent].named)
+        found = {i for i, n in self.under.items() if 2 * n > total and i in self.titled}
+        return found or ({*self.under} if not self.plain else set())
+
+
+def _element(page: Page, tag: str, attrs: str, parent: int, overruled: set[int]) -> Element:
+    above, own = page.elements[parent], len(page.elements)
+    step, skipped, named = tag, tag in SKIPPED, False
     if attrs and not attrs.isspace() and attrs != "/":
         found = _attributes(attrs)
         classes = sorted(set(re.sub(r"\d+", "#", found.get("class", "").lower()).split()))
         step = ".".join([tag, *classes])
         names = " ".join((found.get("class", ""), found.get("id", "")))
         if tag not in ("html", "body", "article", "main"):
-            skipped = skipped or bool(NAMES.search(names)) or found.get("role", "").lower() in ROLES
+            named = bool(NAMES.search(names))
+            skipped = skipped or found.get("role", "").lower() in ROLES
         elif tag == "article":
             skipped = skipped or bool(re.search(r"(?:^|[\s_-])(?:comments?|reply)(?:$|[\s_\d-])", names, re.I))
         skipped = skipped or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or bool(HIDDEN.search(found.get("style", "")))
-    path = f"{above.path}>{step}" if above else step
-    return Element(tag, step, skipped or bool(above and above.skipped), tag == "a" or bool(above and above.link), path, parent)
+    path = page.paths.below(above.path, step)
+    return Element(tag, step, skipped or above.skipped, tag == "a" or above.link, path, parent, own if named and own not in overruled else above.named)
+
 
+def parse(html: str) -> Page:
+    page = _parsed(html, set())
+    overruled = page.overruled() if page.under else None
+    return _parsed(html, overruled) if overruled else page
 
-def parse(html: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
-    """Elements in page order (the first stands for the page) and blocks: element, text, characters inside links."""
-    elements = [Element("body", "", False, False, "", -1)]
+
+def _parsed(html: str, overruled: set[int]) -> Page:
+    page = Page()
+    elements, blocks = page.elements, page.blocks
     stack = [0]
-    blocks: list[tuple[int, str, int]] = []
+    opened: dict[str, int] = defaultdict(int)  # open elements by tag
     pieces: list[str] = []
     linked = [0]
 
@@ -123,7 +192,10 @@ def parse(html: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
 
     def text(raw: str) -> None:
         top = elements[stack[-1]]
-        if raw and not top.skipped:
+        if raw and top.named and not top.skipped:
+            page.under[top.named] += len(raw.strip())
+        elif raw and not top.skipped:
+            page.plain += len(raw.strip())
             if not pieces:
                 owner[0] = next(i for i in reversed(stack) if elements[i].tag in BLOCK or i == 0)
             pieces.append(raw)
@@ -132,11 +204,15 @@ def parse(html: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
 
     def close(names: set[str] | frozenset[str], scope: set[str] | frozenset[str]) -> None:
         """Close the nearest open element of these names, if none of the scope's lies above it."""
+        if not any(opened[name] for name in names):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             tag = elements[stack[depth]].tag
             if tag in names:
                 if any(elements[i].tag in BLOCK for i in stack[depth:]):
                     flush()
+                for i in stack[depth:]:
+                    opened[elements[i].tag] -= 1
                 del stack[depth:]
                 return
             if tag in scope:
@@ -151,7 +227,7 @@ def parse(html: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
         if not tag:
             continue
         if m["end"] or m["end2"]:
-            if tag == "p" and not any(elements[i].tag == "p" for i in stack):
+            if tag == "p" and not opened["p"]:
                 flush()
             close({tag}, frozenset() if tag in BLOCK else BLOCK)
             continue
@@ -163,7 +239,7 @@ def parse(html: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
             if tag == "hr":
                 flush()
             continue
-        if tag in ("html", "body") and any(elements[i].tag == tag for i in stack[1:]):
+        if tag in ("html", "body") and opened[tag]:
             continue
         if tag in BLOCK:
             flush()
@@ -177,23 +253,28 @@ def parse(html: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
                     break
         attrs = m["attrs"] or m["attrs2"] or ""
         parent = stack[-1]
-        element = _element(tag, attrs, elements[parent] if parent else None, parent)
-        if element.skipped and not elements[parent].skipped and tag in BLOCK | SKIPPED:
+        element = _element(page, tag, attrs, parent, overruled)
+        left_out = element.skipped or element.named
+        if left_out and not (elements[parent].skipped or elements[parent].named) and (tag in BLOCK or tag in SKIPPED):
             flush()
         elements.append(element)
+        if element.named and not element.skipped and tag in ("h1", "article", "main"):
+            page.titled.add(element.named)
         if not attrs.endswith("/") or tag in BLOCK or tag in ("a", "b", "i", "span"):
             stack.append(len(elements) - 1)
+            opened[tag] += 1
     text(html[at:])
     flush()
-    return elements, blocks
+    return page
 
 
-def container_scores(elements: list[Element], blocks: list[tuple[int, str, int]]) -> dict[int, float]:
+def container_scores(page: Page) -> dict[int, float]:
     """Score of every container that holds text, by its place among the elements."""
     scores: dict[int, float] = defaultdict(float)
-    for place, text, linked in blocks:
+    elements = page.elements
+    for place, text, linked in page.blocks:
         worth, share = len(text) - 2.0 * linked, 1.0
-        while place > 0:
+        while place > 0 and share > LEAST_SHARE:
             if elements[place].tag in CONTAINERS:
                 scores[place] += worth * share
                 share /= 2
@@ -201,12 +282,13 @@ def container_scores(elements: list[Element], blocks: list[tuple[int, str, int]]
     return scores
 
 
-def climbed(elements: list[Element], blocks: list[tuple[int, str, int]], best: int) -> str:
+def climbed(page: Page, best: int) -> str:
     """Path of the container that holds the rest of the best one's article; the empty path is the page."""
-    own: dict[str, float] = defaultdict(float)  # text directly in a container; a headline counts even as a link
-    headed: set[str] = set()
-    within: dict[tuple[str, str], float] = defaultdict(float)  # text of a section, by the paths of its parent and its own
-    for place, text, linked in blocks:
+    elements = page.elements
+    own: dict[int, float] = defaultdict(float)  # text directly in a container; a headline counts even as a link
+    headed: set[int] = set()
+    within: dict[tuple[int, int], float] = defaultdict(float)  # text of a section, by the paths of its parent and its own
+    for place, text, linked in page.blocks:
         worth, head, direct = len(text) - 2.0 * linked, False, True
         while place >= 0:
             element = elements[place]
@@ -219,7 +301,7 @@ def climbed(elements: list[Element], blocks: list[tuple[int, str, int]], best: i
             if element.tag == "section":
                 within[elements[element.parent].path, element.path] += worth
             place = element.parent
-    parts: dict[str, int] = defaultdict(int)
+    parts: dict[int, int] = defaultdict(int)
     for (parent, _), worth in within.items():
         parts[parent] += worth > 0
     chosen, at = best, elements[best].parent
@@ -243,44 +325,41 @@ def climbed(elements: list[Element], blocks: list[tuple[int, str, int]], best: i
             chosen = at
             found |= {element.tag} & {"article", "main"}
         below, at = element.tag, element.parent
-    return elements[chosen].path
+    return page.paths.text(elements[chosen].path)
 
 
-def best_container(elements: list[Element], blocks: list[tuple[int, str, int]]) -> tuple[str, float] | None:
+def best_container(page: Page) -> tuple[str, float] | None:
     """Path and score of the best container, climbed to its article; the path's scores are added, as an article may be cut into like parts."""
-    totals: dict[str, float] = defaultdict(float)
-    for place, score in container_scores(elements, blocks).items():
-        totals[elements[place].path] += score
+    totals: dict[int, float] = defaultdict(float)
+    for place, score in container_scores(page).items():
+        totals[page.elements[place].path] += score
     if not totals:
         return None
-    path, score = max(totals.items(), key=lambda x: (x[1], [-ord(c) for c in x[0]]))
-    best = next(i for i, e in enumerate(elements) if e.path == path and not e.skipped)
-    return climbed(elements, blocks, best), score
+    score = max(totals.values())
+    path = min((path for path, x in totals.items() if x == score), key=page.paths.text)
+    best = next(i for i, e in enumerate(page.elements) if e.path == path and not e.skipped and not e.named)
+    return climbed(page, best), score
 
 
 def extract(html: str | None, path: str | None) -> str:
     """The text below all containers with this path; without any, below the page's own best, else of the page."""
     if not html:
         return ""
-    elements, blocks = parse(html)
-    found = _texts(elements, blocks, path) if path is not None else []
+    page = parse(html)
+    found = _texts(page, path) if path is not None else []
     if not found:
-        own = best_container(elements, blocks)
-        found = _texts(elements, blocks, own[0]) if own else [t for _, t, _ in blocks]
+        own = best_container(page)
+        found = _texts(page, own[0]) if own else [t for _, t, _ in page.blocks]
     return "\n\n".join(found)
 
 
-def _texts(elements: list[Element], blocks: list[tuple[int, str, int]], path: str) -> list[str]:
-    inside = _inside(elements, path) or ()
-    return [t for place, t, _ in blocks if place in inside]
-
-
-def _inside(elements: list[Element], path: str) -> set[int] | None:
-    found: set[int] = set()
-    for i, e in enumerate(elements):
-        if e.path == path and not e.skipped or e.parent in found:
-            found.add(i)
-    return found or None
+def _texts(page: Page, path: str) -> list[str]:
+    number = page.paths.number(path)
+    inside: set[int] = set()
+    for i, e in enumerate(page.elements):
+        if e.path == number and not e.skipped or e.parent in inside:
+            inside.add(i)
+    return [t for place, t, _ in page.blocks if place in inside]
 
 
 def votes(pages: DataFrame) -> DataFrame:
@@ -291,7 +370,7 @@ def votes(pages: DataFrame) -> DataFrame:
             totals: dict[tuple[str, str], list[float]] = {}
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page = html.as_py()
-                best = best_container(*parse(page)) if page else None
+                best = best_container(parse(page)) if page else None
                 if best:
                     entry = totals.setdefault((host, best[0]), [0, 0])
                     entry[0] += 1
