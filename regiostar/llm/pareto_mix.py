@@ -14,7 +14,7 @@ documents of the cell that holds the cut are put in order. Cells hold equal shar
 that holds a third of all rows is split into ``CELLS`` parts; nothing is collected.
 
 Defined results: a null text has size 0 and takes 0 words; a null source is a source of its own, last in order; rows
-that repeat id and text are interchangeable and each counts; a source without words has target 0; an empty table
+that repeat id and text are interchangeable, and the cut may take some of them only; a source without words has target 0; an empty table
 gives an empty result; other columns are ignored. Reruns agree, as u is a hash.
 """
 
@@ -30,6 +30,7 @@ from regiostar.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 CELLS = 4096
+PORTIONS = 64
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), Fraction(3, 2), 2, 17
 WHOLE = "decimal(38,0)"
 
@@ -119,21 +120,43 @@ def _plan(sized: DataFrame, weights: tuple[int, ...], share: Fraction, most: int
     before = F.sum("words").over(Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
     cells = cells.withColumn("before", F.coalesce(before, F.lit(0)))
     cut = materialize(cells.where("before < left and before + words >= left").select("key", F.col("cell").alias("cut"), "before"), "cuts")
-    # The documents of the cut's cell in order; a document belongs to the sample if that brings the words nearer.
-    inside = rows.join(cut, "key").where("cell = cut")
-    order = Window.partitionBy("key").orderBy("odds", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = F.col("before") + F.sum("size").over(order)
-    edge = inside.withColumn("taken_here", reached - F.col("size") / 2 <= F.col("left"))
-    edge = edge.groupBy("key").agg(F.max(F.when(F.col("taken_here"), F.struct("odds", "doc_id", "size"))).alias("last"))
-    return rates, materialize(cut.join(edge, "key").select("key", "cut", "last"), "marks")
+    # The documents of the cut's cell in order, equal rows as one group; a row belongs to the sample if that brings the
+    # words nearer, so the cut may lie inside a group and take some of its rows.
+    inside = rows.join(cut, "key").where("cell = cut").groupBy("key", "odds", "doc_id", "size").agg(
+        F.count("*").alias("equal"), F.max("before").alias("before"), F.max("left").alias("left")
+    )
+    order = Window.partitionBy("key").orderBy("odds", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("equal")).over(order), F.lit(0))
+    wanted = F.floor((F.col("left") - reached) / F.col("size") + 0.5).cast("long")
+    edge = inside.withColumn("some", F.least(F.greatest(wanted, F.lit(0)), F.col("equal"))).where("some > 0")
+    edge = edge.groupBy("key").agg(F.max(F.struct("odds", "doc_id", "size", "some", "equal")).alias("last"))
+    edge = edge.select("key", F.struct("last.odds", "last.doc_id", "last.size").alias("last"), F.col("last.some").alias("some"), F.col("last.equal").alias("equal"))
+    return rates, materialize(cut.join(edge, "key", "left").select("key", "cut", "last", "some", "equal"), "marks")
 
 
 def _copies(rows: DataFrame, marks: DataFrame) -> DataFrame:
     """Adds the number of copies the mix takes."""
+    cut_inside = not marks.where("some < equal").isEmpty()
     rows = rows.join(marks, "key", "left")
-    sampled = F.when(F.col("odds").isNull(), False).when(F.col("cut").isNull(), F.col("left") > 0).when(F.col("cell") != F.col("cut"), F.col("cell") < F.col("cut"))
-    sampled = sampled.otherwise(F.coalesce(F.struct("odds", "doc_id", "size") <= F.col("last"), F.lit(False)))
-    return rows.withColumn("copies", F.when(F.col("size") > 0, F.col("certain") + sampled.cast("long")).otherwise(0).cast("long"))
+    place = F.struct("odds", "doc_id", "size")
+    at_cut = F.coalesce(F.col("cell") == F.col("cut"), F.lit(False))
+    sampled = F.when(F.col("odds").isNull(), False).when(F.col("cut").isNull(), F.col("left") > 0).when(~at_cut, F.col("cell") < F.col("cut"))
+    sampled = sampled.otherwise(F.coalesce(place <= F.col("last"), F.lit(False)))
+    all_rows = rows.withColumn("sampled", sampled)
+    if cut_inside:
+        # Only some of the rows equal to the last one are taken: they are numbered in shares, as they may be a third of the table.
+        last = at_cut & (F.col("some") < F.col("equal")) & place.eqNullSafe(F.col("last"))
+        last = F.coalesce(last, F.lit(False))
+        equal = materialize(rows.where(last).withColumn("mark", F.monotonically_increasing_id()), "rows-at-the-cut")
+        equal = equal.withColumn("portion", F.pmod("mark", F.lit(PORTIONS)))
+        earlier = Window.partitionBy("key").orderBy("portion").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = equal.groupBy("key", "portion").agg(F.count("*").alias("held"))
+        sizes = sizes.select(F.col("key").alias("k"), F.col("portion").alias("q"), F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("earlier"))
+        numbered = equal.withColumn("number", F.row_number().over(Window.partitionBy("key", "portion").orderBy("mark")))
+        numbered = numbered.join(materialize(sizes, "portions"), (F.col("key") == F.col("k")) & (F.col("portion") == F.col("q")))
+        numbered = numbered.withColumn("sampled", F.col("earlier") + F.col("number") <= F.col("some"))
+        all_rows = all_rows.where(~last).unionByName(numbered.select(*rows.columns, "sampled"))
+    return all_rows.withColumn("copies", F.when(F.col("size") > 0, F.col("certain") + F.col("sampled").cast("long")).otherwise(0).cast("long"))
 
 
 def _sized(docs: DataFrame, seed: int) -> DataFrame:

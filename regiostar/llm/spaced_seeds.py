@@ -225,4 +225,5 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a verified overlap, all columns as they were."""
     found = overlaps(docs.select(row_key().alias("doc_id"), "text"), items)
     tainted = materialize(found.select(F.col("doc_id").alias("_tainted_row")).distinct(), "tainted")
-    return docs.join(tainted, row_key() == F.col("_tainted_row"), "left_anti")
+    rows = docs.select(row_key().alias("own"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    return rows.join(tainted, F.col("own") == F.col("_tainted_row"), "left_anti").select("whole.*")

@@ -400,9 +400,9 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     found = materialize(classes(docs).select("row", "keeper"), "classes")
     gone = materialize(found.where("row <> keeper").select(F.col("row").alias("_gone")).distinct(), "gone-rows")
     again = materialize(found.where("row = keeper").groupBy(F.col("row").alias("_again")).count().where("count > 1").select("_again"), "repeated-rows")
-    kept = docs.withColumn("_row", row_key())
-    kept = kept.join(gone, F.col("_row") == F.col("_gone"), "left_anti")
+    rows = docs.select(row_key().alias("own"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    kept = rows.join(gone, F.col("own") == F.col("_gone"), "left_anti")
     if again.take(1):
-        one = kept.join(again, F.col("_row") == F.col("_again"), "left_semi").dropDuplicates(["_row"])
-        kept = kept.join(again, F.col("_row") == F.col("_again"), "left_anti").union(one)
-    return kept.drop("_row")
+        one = kept.join(again, F.col("own") == F.col("_again"), "left_semi").dropDuplicates(["own"])
+        kept = kept.join(again, F.col("own") == F.col("_again"), "left_anti").union(one)
+    return kept.select("whole.*")
