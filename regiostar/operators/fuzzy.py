@@ -1,23 +1,31 @@
 """Best-match fuzzy join of distinct names, exact at its threshold and without a cross join.
 
 Two texts of lengths m and n that score at least t differ by at most k = (1 - t/100)·(m + n) inserted or deleted
-characters. Cut one of them into k + 1 segments: each edit spoils at most one, so some segment occurs unchanged in
-the other text, shifted by no more than the edits allow. Segments and substrings meet in a shuffled equi-join, and
-only pairs that share one are scored. No pair at or above the threshold is lost.
+characters. Cut one of them into pieces: each edit spoils at most one, so of any k + 1 pieces one occurs unchanged in
+the other text, shifted by no more than the edits allow. A text is cut into more pieces than that where it is long
+enough, the partners of every piece are counted, and the k + 1 pieces with fewest partners are joined: a word that
+all names share is looked up only where nothing rarer is left. Pairs that meet must then pass a bound on the shared
+characters, counted in ``CLASSES`` classes, which is never below the true number. What is left is scored. No pair at
+or above the threshold is lost by either step.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from regiostar import schema
 from regiostar.functions.similarity import indel_ratio, position_masks, sorted_tokens
 from regiostar.functions.text import standardise, strip_accents
 
+#: Least size of the surplus pieces.
+PIECE = 2
+CLASSES = 32
+
 
 def _segments(texts: DataFrame, own: str, partner: str, threshold: float) -> DataFrame:
-    """One row per text, partner length and segment of the target text: its one-based start, and its size.
+    """One row per text, partner length and piece of the target text: its one-based start, and its size.
 
     The margins absorb rounding, in favour of keeping a pair.
     """
@@ -27,18 +35,25 @@ def _segments(texts: DataFrame, own: str, partner: str, threshold: float) -> Dat
     return (
         texts.selectExpr("*", f"explode(sequence({shortest}, {longest})) AS {partner}")
         .selectExpr("*", f"cast(floor({spare!r}D * (source_length + target_length) + 1e-6D) AS int) AS edits")
-        .selectExpr("*", "explode(sequence(0, edits)) AS segment")
+        .selectExpr("*", f"greatest(edits + 1, cast(target_length / {PIECE} AS int)) AS pieces")
+        .selectExpr("*", "explode(sequence(0, pieces - 1)) AS segment")
         .selectExpr(
             "*",
-            "cast(floor(segment * target_length / (edits + 1)) AS int) + 1 AS start",
-            "cast(floor((segment + 1) * target_length / (edits + 1)) AS int)"
-            " - cast(floor(segment * target_length / (edits + 1)) AS int) AS size",
+            "cast(floor(segment * target_length / pieces) AS int) + 1 AS start",
+            "cast(floor((segment + 1) * target_length / pieces) AS int)"
+            " - cast(floor(segment * target_length / pieces) AS int) AS size",
         )
     )
 
 
+def histogram(text: str) -> Column:
+    """How many characters of a text fall into each of ``CLASSES`` classes."""
+    return F.expr(f"""transform(array(transform(split({text}, ''), c -> pmod(ascii(c), {CLASSES}))), classes ->
+        transform(sequence(0, {CLASSES - 1}), k -> size(filter(classes, x -> x = k AND {text} <> ''))))[0]""")
+
+
 def candidate_pairs(sources: DataFrame, targets: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (source, target) texts that share a segment. Inputs have one column of distinct texts each."""
+    """Distinct (source, target) texts that can reach the threshold. Inputs have one column of distinct texts each."""
     block = ["source_length", "target_length", "segment", "piece"]
     left = _segments(
         sources.selectExpr("source", "length(source) AS source_length"), "source_length", "target_length", threshold
@@ -62,8 +77,19 @@ def candidate_pairs(sources: DataFrame, targets: DataFrame, threshold: float) ->
     )
     right = _segments(
         targets.selectExpr("target", "length(target) AS target_length"), "target_length", "source_length", threshold
-    ).selectExpr("target", "source_length", "target_length", "segment", "substring(target, start, size) AS piece")
-    return left.join(right, block).select("source", "target").distinct()
+    ).selectExpr("target", "edits", "source_length", "target_length", "segment", "substring(target, start, size) AS piece")
+    partners = left.groupBy(*block).agg(F.count("*").alias("partners"))
+    # Pieces without a partner count among the k + 1 rarest and meet nobody.
+    counted = right.join(partners.hint("merge"), block, "left")
+    rarest = F.row_number().over(W.partitionBy("target", "source_length").orderBy(F.coalesce("partners", F.lit(0)), "segment"))
+    chosen = counted.withColumn("place", rarest).filter("place <= edits + 1 AND partners IS NOT NULL").select("target", *block)
+    pairs = left.hint("merge").join(chosen, block).select("source", "target").distinct()
+
+    own = sources.select("source", F.length("source").alias("m"), histogram("source").alias("source_classes"))
+    other = targets.select("target", F.length("target").alias("n"), histogram("target").alias("target_classes"))
+    shared = "aggregate(zip_with(source_classes, target_classes, (x, y) -> least(x, y)), 0, (a, x) -> a + x)"
+    possible = pairs.join(own, "source").join(other, "target").filter(f"200.0D * {shared} >= {threshold!r}D * (m + n) - 1e-6D")
+    return possible.select("source", "target")
 
 
 def normalised_names(names: DataFrame, column: str, upper: bool) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regiostar import schema
+from regiostar.functions.similarity import indel_ratio, position_masks
 from regiostar.operators import fuzzy, merge
 from regiostar.operators.numbering import number_rows
 from regiostar.operators.quantiles import quantiles_of_counts, value_counts
@@ -150,3 +151,40 @@ def test_type_inference(table):
 
 def test_schema_defaults():
     assert schema.MATCH_THRESHOLD == 85.0 and len(schema.COHORT_FIELDS) == 13
+
+
+def plain_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        diagonal = 0
+        for j, y in enumerate(b, 1):
+            above, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
+            diagonal = above
+    return row[-1]
+
+
+def test_scores_of_long_texts(spark):
+    rng = random.Random(3)
+    pairs = [
+        tuple("".join(rng.choice(letters) for _ in range(size)) for size in (rng.randint(1, n + 40), n))
+        for n in (1, 60, 61, 62, 122, 123, 183, 300, 500)
+        for letters in ("ab", "abcdé日", "abcdefghijklmnopqrstuvwxyz ")
+    ]
+    frame = spark.createDataFrame(pairs, "l string, r string").withColumn("masks", position_masks("r"))
+    for left, right, score in frame.select("l", "r", indel_ratio("l", "r", "masks")).collect():
+        assert abs(score - 200 * plain_common(left, right) / (len(left) + len(right))) < 1e-9
+
+
+def test_candidates_of_names_with_a_common_word(spark):
+    """At 85 under 5 % of all pairs are compared, and no threshold loses a pair of the full comparison."""
+    rng = random.Random(4)
+    syllables = "RA MO LI TE NO SU GA PE CHI BO VAR DEL QUI TAN FU ZE".split()
+    names = sorted({"MUNICIPIO " + "".join(rng.choice(syllables) for _ in range(rng.randint(5, 8))) for _ in range(400)})
+    sources = spark.createDataFrame([(n,) for n in names], "source string")
+    targets = sources.withColumnRenamed("source", "target")
+    few = names[:25]
+    full = [(a, b, 200 * plain_common(a, b) / (len(a) + len(b))) for a in few for b in few]
+    for threshold in (40.0, 60.0, 85.0):
+        found = fuzzy.candidate_pairs(sources.where(F.col("source").isin(few)), targets.where(F.col("target").isin(few)), threshold)
+        assert {(a, b) for a, b, s in full if s >= threshold} <= {tuple(r) for r in found.collect()}
+    assert fuzzy.candidate_pairs(sources, targets, 85.0).count() < 0.05 * len(names) ** 2
