@@ -270,6 +270,15 @@ ORACLES: dict[str, str] = {
                CAST(sum(CAST(valor AS DECIMAL(15,2))) AS DOUBLE) AS total
         FROM macro_raw WHERE a_o >= '{fx.MACRO_MIN_YEAR}' GROUP BY ALL"""),
     "macro_pages": _sql("SELECT 'records' AS what, count(*) AS records, true AS named FROM macro_raw"),
+    "malformed_rows": """
+        SELECT 'csv' AS format, CASE WHEN o_orderkey % 7 = 0 THEN 'open quote' WHEN o_orderkey % 5 = 0 THEN 'too many fields'
+                 WHEN o_orderkey % 3 = 0 THEN 'short' ELSE 'kept' END AS outcome, count(*) AS n_rows,
+               CAST(sum(o_orderkey) FILTER (o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0) AS BIGINT) AS keys
+        FROM orders GROUP BY ALL
+        UNION ALL
+        SELECT 'json', CASE WHEN o_orderkey % 4 = 0 THEN 'rejected' ELSE 'kept' END, count(*),
+               CAST(sum(o_orderkey) FILTER (o_orderkey % 4 <> 0) AS BIGINT)
+        FROM orders GROUP BY ALL""",
     "parquet_staging": _sql(f"SELECT vigencia, departamento, count(*) AS n_rows, {_BENEFICIARIES} FROM clean GROUP BY ALL"),
     # Cleaning
     "cleaned_cohort": _sql("""
@@ -401,6 +410,20 @@ ORACLES: dict[str, str] = {
                {_half_up("(m - lag(m) OVER s) * 100", "lag(m) OVER s", 2)} AS variacion_yoy_pib_pct,
                {_half_up("total_beneficiarios", "m", 4)} AS densidad_credito_pib
         FROM (SELECT *, total_beneficiarios % 977 - 1 AS m FROM base) {_S}"""),
+    "large_totals": _sql(f"""
+        SELECT vigencia, departamento, codigo_departamento, sector_ies, total_beneficiarios,
+               CAST(m AS DOUBLE) AS pib_miles_millones_promedio,
+               CAST(sum(total_beneficiarios) OVER r AS BIGINT) AS total_depto_anio,
+               {_half_up("total_beneficiarios * 100::HUGEINT", "sum(total_beneficiarios) OVER r", 2)} AS participacion_sector_pct,
+               {_LAG} AS beneficiarios_anio_anterior,
+               {_half_up(f"(total_beneficiarios - {_LAG}) * 100::HUGEINT", _LAG, 2)} AS variacion_yoy_pct,
+               {_half_up("(m - lag(m) OVER s) * 100", "lag(m) OVER s", 2)} AS variacion_yoy_pib_pct,
+               {_half_up("total_beneficiarios", "m", 4)} AS densidad_credito_pib,
+               CASE WHEN vigencia IS NOT NULL AND departamento IS NOT NULL THEN
+                   {_half_up("total_beneficiarios * 100::HUGEINT", "sum(total_beneficiarios) OVER r", 2)} END AS cuota_pct
+        FROM (SELECT * EXCLUDE (total_beneficiarios), (total_beneficiarios % 977 - 1) * 100000000 AS m,
+                     CAST((total_beneficiarios % 89 + 1) * 5000000000000000 + total_beneficiarios AS BIGINT) AS total_beneficiarios FROM base)
+        WINDOW s AS (PARTITION BY departamento, sector_ies ORDER BY vigencia), r AS (PARTITION BY vigencia, departamento)"""),
     "share_change": _sql(f"""
         SELECT {_MART}, CAST(total_depto_anio AS BIGINT) AS total_depto_anio, participacion_sector_pct,
                participacion_anterior_pct, variacion_cuota_pp

@@ -126,6 +126,26 @@ def macro_pages(spark: SparkSession, folder: str) -> DataFrame:
     ).groupBy("what").agg(F.count("*").alias("records"), F.min(F.length(macro_records.PAGE) > 0).alias("named"))
 
 
+def malformed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders delivered as CSV and JSON lines, some with a surplus field, an open quote, a missing field or a cut-off end."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    end = F.when(key % 7 == 0, ',x').when(key % 5 == 0, ',"x, y",extra').when(key % 3 == 0, "").otherwise(',"x, y"')
+    lines, texts = fresh_path(spark, "lines"), fresh_path(spark, "records")
+    orders.select(F.concat(key.cast("string"), F.when(key % 7 == 0, ',"').otherwise(","), status, end)).write.text(lines)
+    record = F.to_json(F.struct(key.cast("string").alias("key"), status.alias("status")))
+    orders.select(F.when(key % 4 == 0, F.substring(record, 1, 12)).otherwise(record)).write.text(texts)
+    rows = materialize(cohort_csv.read_csv_rows(spark, lines, names=["key", "status", "note"]), "csv-rows")
+    records = materialize(macro_records.read_record_rows(spark, texts, ("key", "status")), "json-rows")
+    whole = F.sum(F.col("key").cast("long")).alias("keys")
+    return (
+        cohort_csv.rejected(rows).groupBy(F.lit("csv").alias("format"), F.col(cohort_csv.REASON).alias("outcome")).agg(F.count("*").alias("n_rows"), F.lit(None).cast("long").alias("keys"))
+        .union(cohort_csv.kept(rows).groupBy(F.lit("csv"), F.when(F.col("note").isNull(), "short").otherwise("kept")).agg(F.count("*"), whole))
+        .union(macro_records.rejected(records).groupBy(F.lit("json"), F.lit("rejected")).agg(F.count("*"), F.lit(None).cast("long")))
+        .union(macro_records.kept(records).groupBy(F.lit("json"), F.lit("kept")).agg(F.count("*"), whole))
+    )
+
+
 def parquet_staging(spark: SparkSession, folder: str) -> DataFrame:
     path = staging.write_staging(_cohort(spark, folder), fresh_path(spark, "staging"))
     return (
@@ -491,6 +511,15 @@ def yearly_change(spark: SparkSession, folder: str) -> DataFrame:
     return plain(mart.with_yearly_change(base))
 
 
+def large_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares and changes of totals up to 4.5e17, whose hundredfold no long holds."""
+    large = (F.col(mart.TOTAL) % 89 + 1) * F.lit(5 * 10**15) + F.col(mart.TOTAL)
+    base = _base(spark, folder).withColumn(mart.MACRO_MEAN, ((F.col(mart.TOTAL) % 977 - 1) * 10**8).cast("decimal(19,8)")).withColumn(mart.TOTAL, large)
+    shares = dashboard.sector_shares(base, (schema.YEAR, schema.REGION)).select(schema.YEAR, schema.REGION, schema.SECTOR, "cuota_pct")
+    found = mart.with_yearly_change(mart.with_share(mart.with_region_total(base)))
+    return plain(found.join(shares, [schema.YEAR, schema.REGION, schema.SECTOR], "left"))
+
+
 def share_change(spark: SparkSession, folder: str) -> DataFrame:
     return plain(mart.with_share_change(mart.with_share(mart.with_region_total(_base(spark, folder)))))
 
@@ -645,14 +674,14 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         credit_mart,
-        csv_extract, csv_sniffed, macro_extract, macro_pages, parquet_staging,
+        csv_extract, csv_sniffed, macro_extract, macro_pages, malformed_rows, parquet_staging,
         cleaned_cohort, join_keys, accent_removal, typed_columns, macro_aliases, inferred_types, complete_rows,
         target_rows, comma_audit,
         fuzzy_mapping, mapped_names, name_scores, part_name_mapping, macro_annual, merged_macro, unmatched_audit,
         unmatched_regions, residual_nulls, macro_coverage, year_medians,
         surrogate_keys, null_safe_fact, resolved_fact, rejected_rows, star_join, orphan_keys,
         member_upsert, year_replacement, full_refresh, incremental_run, mart_refresh, monthly_batches,
-        mart_totals, region_totals, sector_share, yearly_change, share_change, region_rank,
+        mart_totals, region_totals, sector_share, yearly_change, large_totals, share_change, region_rank,
         distinct_regions, distinct_counts, value_frequencies, null_report, column_info, yearly_trend, outlier_report,
         outlier_rows, description, duplicate_rows, measure_histogram, key_range, geo_key_audit, preview,
         quality_rules, quality_failures, quality_history, table_constraints, key_uniqueness,

@@ -60,4 +60,5 @@ def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
 
 
 def percent(numerator: Column, denominator: Column, digits: int = 2) -> Column:
-    return ratio(numerator * 100, denominator, digits)
+    """As a decimal of 24 digits, so that the product of a long cannot overflow."""
+    return ratio(numerator.cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)"), denominator, digits)

@@ -74,12 +74,15 @@ def with_share(base: DataFrame) -> DataFrame:
 
 def with_yearly_change(base: DataFrame) -> DataFrame:
     before, mean = previous(TOTAL), F.col(MACRO_MEAN)
+    # Scaling both sides keeps 14 decimals; totals too large for that are divided as they are, with 10 decimals.
+    scaled = ratio(F.col(TOTAL) * F.lit(10**8).cast("decimal(9,0)"), _whole(mean), 4)
+    direct = F.try_divide(F.col(TOTAL).cast("decimal(20,0)"), F.nullif(mean, F.lit(0)))
     return base.withColumns(
         {
             "beneficiarios_anio_anterior": before,
             "variacion_yoy_pct": percent(F.col(TOTAL) - before, before),
             "variacion_yoy_pib_pct": percent(_whole(mean) - _whole(previous(mean)), _whole(previous(mean))),
-            "densidad_credito_pib": ratio(F.col(TOTAL) * F.lit(10**8).cast("decimal(9,0)"), _whole(mean), 4),
+            "densidad_credito_pib": F.when(F.abs(TOTAL) < 10**15, scaled).otherwise(F.round(direct, 4).cast("decimal(29,4)")),
         }
     )
 

@@ -47,29 +47,62 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
     return max(DELIMITERS, key=lambda d: len(split_header(line, d)))
 
 
+REJECTED, REASON, FILE = "_rejected", "_reason", "_file"
+
+
+def read_csv_rows(
+    spark: SparkSession, path: str, delimiter: str | None = ",", multiline: bool = False, names: Iterable[str] | None = None
+) -> DataFrame:
+    """All rows as text with their file, and for a row that can't be cut into the columns its line and the reason.
+
+    Too many fields, and a quote that stays open, are reasons; missing fields at the end are nulls, blank lines no rows.
+    ``names`` is for files without a header. Lines are read as text and cut in the same scan, which gives both kinds of
+    rows. Rows over several lines (``multiline``) are read by the CSV source, where an open quote runs to the file's end.
+    """
+    header = header_line(spark, path) if names is None or delimiter is None else ""
+    if delimiter is None:
+        delimiter = max(DELIMITERS, key=lambda d: len(split_header(header, d)))
+    named = list(names) if names is not None else split_header(header, delimiter)
+    places = [f"c{i}" for i in range(len(named))]
+    options = {"sep": delimiter, "quote": '"', "escape": '"'}
+    if multiline:
+        columns = T.StructType([T.StructField(c, T.StringType()) for c in [*places, REJECTED]])
+        df = spark.read.schema(columns).options(header=names is None, multiLine=True, columnNameOfCorruptRecord=REJECTED, **options).csv(path)
+        fields, line = [F.col(c) for c in places], F.col(REJECTED)
+    else:
+        df = spark.read.text(path).select(F.ltrim(F.col("value"), F.lit("\ufeff")).alias("line"), "_metadata")
+        df = df.filter(F.trim("line") != "")
+        if names is None:
+            df = df.filter(F.col("line") != header)  # the first line of every file
+        cut = F.from_csv("line", ", ".join(f"{c} string" for c in places), options)
+        df = df.select("line", "_metadata", cut.alias("cut"))
+        fields, line = [F.col(f"cut.{c}") for c in places], F.col("line")
+    # Delimiters inside quotes are none; a doubled quote looks like two quoted parts side by side.
+    bare = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
+    count = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
+    reason = F.when(F.contains(bare, F.lit('"')), "open quote").when(count > len(named), "too many fields")
+    texts = [F.when(~field.isin(*schema.NULL_TOKENS), field).alias(name) for field, name in zip(fields, named, strict=True)]
+    return df.select(*texts, F.when(reason.isNotNull(), line).alias(REJECTED), reason.alias(REASON), F.col("_metadata.file_name").alias(FILE))
+
+
+def kept(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(REASON).isNull()).drop(REJECTED, REASON, FILE)
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """File, reason and line of every row that was left out."""
+    return rows.filter(F.col(REASON).isNotNull()).select(FILE, REASON, REJECTED)
+
+
 def read_csv_text(spark: SparkSession, path: str, delimiter: str | None = ",", multiline: bool = False) -> DataFrame:
-    """All columns as text, null where the text is one of the known tokens for missing values.
+    """All columns as text; a row that can't be cut into the columns is an error.
 
     ``delimiter=None`` takes the delimiter from the header line. The schema also comes from the header, so the
     files are read once. ``multiline`` allows line breaks within quotes, but such files cannot be split.
     """
-    if delimiter is None:
-        delimiter = sniff_delimiter(spark, path)
-    names = split_header(header_line(spark, path), delimiter)
-    columns = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    df = (
-        spark.read.schema(columns)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("sep", delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
-    return df.select(
-        *[F.when(~F.col(f"`{n}`").isin(*schema.NULL_TOKENS), F.col(f"`{n}`")).alias(n) for n in names]
-    )
+    rows = read_csv_rows(spark, path, delimiter, multiline)
+    message = F.concat(F.col(FILE), F.lit(": "), F.col(REASON), F.lit(": "), F.col(REJECTED))
+    return rows.filter(F.when(F.col(REASON).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)).drop(REJECTED, REASON, FILE)
 
 
 def extract_csv(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from regiostar import schema
 
-PAGE = "_page"
+PAGE, REJECTED = "_page", "_rejected"
 
 
 def read_records(
@@ -33,6 +33,28 @@ def read_records(
     return df.filter(F.col(year_column) >= F.lit(str(min_year)))
 
 
+def read_record_rows(spark: SparkSession, path: str, columns: Iterable[str] = schema.MACRO_RECORD_COLUMNS) -> DataFrame:
+    """Every line with its page: the fields, or the line itself in ``_rejected`` where it is no JSON record.
+
+    No year is filtered here, so that kept and rejected lines add up to what was delivered.
+    """
+    names = list(columns)
+    fields = T.StructType([T.StructField(name, T.StringType()) for name in [*names, REJECTED]])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED})
+    df = lines.select("value", parsed.alias("record"), F.col("_metadata.file_name").alias(PAGE))
+    broken = F.col("record").isNull() | F.col(f"record.{REJECTED}").isNotNull()
+    return df.select(*[F.col(f"record.`{n}`").alias(n) for n in names], F.when(broken, F.col("value")).alias(REJECTED), PAGE)
+
+
+def kept(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(REJECTED).isNotNull()).select(PAGE, REJECTED)
+
+
 def extract_records(spark: SparkSession, path: str, **options) -> DataFrame:
     """Records without the page name; no record at all is an error."""
     df = read_records(spark, path, **options).drop(PAGE)

@@ -1,8 +1,9 @@
 import json
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 
+from regiostar.sources import cohort_csv, macro_records
 from regiostar.sources.cohort_csv import extract_csv, read_cohort, sniff_delimiter
 from regiostar.sources.columns import missing_columns, require_columns, strip_column_names
 from regiostar.sources.macro_records import extract_records, incomplete_pages, page_counts, read_records
@@ -86,3 +87,21 @@ def test_column_checks(spark):
     assert missing_columns(df, ["id", " id "]) == ["id"]
     with pytest.raises(KeyError, match="orders: missing columns"):
         require_columns(df, ["id"], "orders")
+
+
+def test_rows_that_do_not_fit_are_reported_or_an_error(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "a,b,c", '1,F,"x, y"', "2016,b,extra,surplus", "2016,,,surplus", "3,F", "", '7,"F,x', "8,NA,z")
+    rows = cohort_csv.read_csv_rows(spark, path)
+    assert sorted((r.a, r.b or "", r.c or "") for r in cohort_csv.kept(rows).collect()) == [("1", "F", "x, y"), ("3", "F", ""), ("8", "", "z")]
+    assert sorted(tuple(r) for r in cohort_csv.rejected(rows).collect()) == [
+        ("a.csv", "open quote", '7,"F,x'), ("a.csv", "too many fields", "2016,,,surplus"), ("a.csv", "too many fields", "2016,b,extra,surplus")
+    ]
+    with pytest.raises(PySparkException, match="too many fields|open quote"):
+        extract_csv(spark, path).select("a").collect()
+
+
+def test_broken_json_lines_are_reported(spark, tmp_path):
+    path = write(tmp_path / "p1.json", '{"k": "1", "more": 2}', '{"k": "2"', "[]", "text", '{"other": 1}', '{"k": "2020"}')
+    rows = macro_records.read_record_rows(spark, path, ("k",))
+    assert sorted(r.k or "" for r in macro_records.kept(rows).collect()) == ["", "1", "2020"]
+    assert sorted(r._rejected for r in macro_records.rejected(rows).collect()) == ["[]", "text", '{"k": "2"']
