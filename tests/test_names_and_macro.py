@@ -179,7 +179,7 @@ def test_candidates_of_names_with_a_common_word(spark):
     """At 85 under 5 % of all pairs are compared, and no threshold loses a pair of the full comparison."""
     rng = random.Random(4)
     syllables = "RA MO LI TE NO SU GA PE CHI BO VAR DEL QUI TAN FU ZE".split()
-    names = sorted({"MUNICIPIO " + "".join(rng.choice(syllables) for _ in range(rng.randint(5, 8))) for _ in range(400)})
+    names = sorted({"MUNICIPIO " + "".join(rng.choice(syllables) for _ in range(rng.randint(5, 8))) for _ in range(120)})
     sources = spark.createDataFrame([(n,) for n in names], "source string")
     targets = sources.withColumnRenamed("source", "target")
     few = names[:25]
