@@ -270,6 +270,17 @@ ORACLES: dict[str, str] = {
                CAST(sum(CAST(valor AS DECIMAL(15,2))) AS DOUBLE) AS total
         FROM macro_raw WHERE a_o >= '{fx.MACRO_MIN_YEAR}' GROUP BY ALL"""),
     "macro_pages": _sql("SELECT 'records' AS what, count(*) AS records, true AS named FROM macro_raw"),
+    "page_completeness": """
+        WITH pages AS (
+            SELECT CAST(o_orderkey // 100 AS BIGINT) AS page_number, count(*) AS records
+            FROM orders WHERE (o_orderkey // 100) % 11 <> 3 AND ((o_orderkey // 100) % 7 <> 2 OR o_orderkey % 100 < 60)
+            GROUP BY ALL)
+        SELECT page_number, records,
+               CAST(coalesce(page_number - lag(page_number) OVER (ORDER BY page_number) - 1, greatest(page_number - 1, 0)) AS BIGINT)
+                 AS missing_before,
+               CASE WHEN records > 100 THEN 'too many' WHEN page_number = (SELECT max(page_number) FROM pages) THEN 'last'
+                    WHEN records < 100 THEN 'cut short' ELSE 'whole' END AS outcome
+        FROM pages""",
     "malformed_rows": """
         SELECT 'csv' AS format, CASE WHEN o_orderkey % 7 = 0 THEN 'open quote' WHEN o_orderkey % 5 = 0 THEN 'too many fields'
                  WHEN o_orderkey % 3 = 0 THEN 'short' ELSE 'kept' END AS outcome, count(*) AS n_rows,
@@ -396,6 +407,24 @@ ORACLES: dict[str, str] = {
     "monthly_batches": _sql(
         _FACT_BY_YEAR.format(factor="(CASE vigencia WHEN 1997 THEN 2 WHEN 1998 THEN 3 ELSE 1 END)", where="")
     ),
+    "failed_load": _sql(f"""
+        SELECT *, (SELECT count(DISTINCT (vigencia, periodo_otorgamiento)) FROM clean WHERE vigencia < 2000) AS periods
+        FROM ({_FACT_BY_YEAR.format(factor="1", where="WHERE vigencia < 2000")})"""),
+    "run_rejects": _sql(f"""
+        SELECT 'with gaps' AS run_id, 'dim_student_profile' AS unresolved, vigencia, count(*) AS n_rows, {_BENEFICIARIES}
+        FROM cohort WHERE estrato_socioeconomico = 7 GROUP BY vigencia"""),
+    "monthly_run": _sql("""
+        SELECT vigencia, count(*) AS n_rows,
+               CAST(sum(CASE vigencia WHEN 1997 THEN 2 WHEN 1998 THEN 3 ELSE 1 END * total_nuevos_beneficiarios) AS BIGINT) AS beneficiaries,
+               CAST(sum(gdp4) AS DOUBLE) / 10000 AS gdp
+        FROM merged GROUP BY vigencia"""),
+    "gated_batch": _sql("""
+        SELECT 'fact' AS what, CAST(vigencia AS VARCHAR) AS name, count(*) AS n_rows,
+               CAST(sum(CASE vigencia WHEN 1998 THEN 3 ELSE 1 END * total_nuevos_beneficiarios) AS BIGINT) AS beneficiaries
+        FROM clean GROUP BY vigencia
+        UNION ALL SELECT 'loaded', '2024-01', count(*), 0 FROM cohort
+        UNION ALL SELECT 'quarantined', '2024-02', count(*), count(*) FROM cohort WHERE vigencia IN (1997, 1998)
+        UNION ALL SELECT 'loaded', '2024-03', count(*), 0 FROM cohort WHERE vigencia = 1998"""),
     # Mart and its windows
     "credit_mart": _sql("SELECT * FROM mart"),
     "mart_totals": _sql(f"""

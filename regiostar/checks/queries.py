@@ -22,6 +22,7 @@ from regiostar.plans.warehouse import RESULTS_TABLE, Warehouse
 from regiostar.session import fresh_path, materialize
 from regiostar.sources import cohort_csv, macro_records, staging
 from regiostar.streaming.batches import load_batches
+from regiostar.streaming.monthly import MonthlyRuns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +127,19 @@ def macro_pages(spark: SparkSession, folder: str) -> DataFrame:
     ).groupBy("what").agg(F.count("*").alias("records"), F.min(F.length(macro_records.PAGE) > 0).alias("named"))
 
 
+def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed as pages of 100 keys: every eleventh page is missing, every seventh lacks its later keys."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    page = F.floor(F.col("o_orderkey") / 100)
+    landed = orders.filter((page % 11 != 3) & ((page % 7 != 2) | (F.col("o_orderkey") % 100 < 60)))
+    path = fresh_path(spark, "landed-pages")
+    records = landed.select(F.col("o_orderkey").cast("string").alias("key"), page.alias("page"))
+    records.repartition("page").write.partitionBy("page").json(path)
+    pattern = r"page=(\d+)/"
+    found = macro_records.read_records(spark, path, min_year=None, columns=("key",), page_number=pattern)
+    return macro_records.page_report(found, 100, macro_records.landed_pages(spark, path, pattern))
+
+
 def malformed_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Orders delivered as CSV and JSON lines, some with a surplus field, an open quote, a missing field or a cut-off end."""
     orders = spark.read.parquet(f"{folder}/orders.parquet")
@@ -485,6 +499,81 @@ def monthly_batches(spark: SparkSession, folder: str) -> DataFrame:
     return _fact_by_year(warehouse)
 
 
+def failed_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A load that fails before it is published, over doubled measures and new members, changes nothing."""
+    rows = _with_macro(_staged(spark, folder))
+    warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
+    warehouse.load(rows.filter(F.col(schema.YEAR) < 2000))
+
+    def fail() -> None:
+        raise InterruptedError
+
+    try:
+        warehouse.load(rows.withColumn(schema.MEASURE, F.col(schema.MEASURE) * 2), before_publish=fail)
+    except InterruptedError:
+        pass
+    members = warehouse.dimension(schema.PERIOD).agg(F.count("*").alias("periods"))
+    return _fact_by_year(warehouse).withColumn("periods", members.scalar())
+
+
+def run_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that a whole run could not load: those delivered without a stratum."""
+    rows = fx.delivered(fx.cohort(spark, folder))
+    stratum = F.col("`ESTRATO SOCIOECONÓMICO`")
+    path = fresh_path(spark, "delivered-csv")
+    rows.withColumn("ESTRATO SOCIOECONÓMICO", F.when(stratum != "7", stratum).otherwise("N/A")).write.option("header", True).option("escape", '"').csv(path)
+    config = RunConfig(
+        path, fresh_path(spark, "warehouse"), _delivered_json(spark, folder), min_year=fx.MACRO_MIN_YEAR,
+        rules=[quality.not_null(schema.YEAR), quality.not_null(mart.CODE)], run_id="with gaps",
+    )
+    warehouse, _ = run_incremental(spark, config)
+    row = F.from_json("row", f"{schema.YEAR} int, {schema.MEASURE} int")
+    found = warehouse.rejects("with gaps").select("run_id", "unresolved", row.alias("row"))
+    rejected = found.groupBy("run_id", "unresolved", F.col(f"row.{schema.YEAR}").alias(schema.YEAR))
+    return rejected.agg(F.count("*").alias("n_rows"), F.sum(f"row.{schema.MEASURE}").alias("beneficiaries"))
+
+
+def _monthly(spark: SparkSession, folder: str, second_measure) -> MonthlyRuns:
+    """Raw batches: all years; then 1997 and 1998 again with the given measure; then 1998 with tripled measures."""
+    landing, root = fresh_path(spark, "landing"), fresh_path(spark, "warehouse")
+    rows, year, measure = materialize(fx.cohort(spark, folder), "cohort"), F.col(schema.YEAR), F.col(schema.MEASURE)
+    rules = [
+        quality.not_null(schema.YEAR),
+        quality.in_set(schema.STRATUM, schema.ALLOWED_STRATA, mostly=0.80),
+        quality.between(schema.MEASURE, low=0),
+    ]
+    macro = _delivered_json(spark, folder)
+    config = RunConfig(landing, root, macro, min_year=fx.MACRO_MIN_YEAR, rules=rules)
+    runs = MonthlyRuns(spark, config, f"{root}/_checkpoint")
+
+    def land(batch: str, part: DataFrame) -> None:
+        writer = fx.delivered(part).write.option("header", True).option("escape", '"')
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{landing}/batch={batch}")
+
+    land("2024-01", rows)
+    runs.run()
+    land("2024-02", rows.filter(year.isin(1997, 1998)).withColumn(schema.MEASURE, second_measure(measure)))
+    land("2024-03", rows.filter(year == 1998).withColumn(schema.MEASURE, measure * 3))
+    runs.run()
+    return runs
+
+
+def monthly_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Three raw batches, each cleaned, merged, checked and loaded."""
+    return _fact_by_year(_monthly(spark, folder, lambda measure: measure * 2).warehouse)
+
+
+def gated_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The second batch holds negative measures: it is quarantined, changes nothing, and the third is loaded."""
+    runs = _monthly(spark, folder, lambda measure: -measure)
+    facts = _fact_by_year(runs.warehouse).select(
+        F.lit("fact").alias("what"), F.col(schema.YEAR).cast("string").alias("name"), "n_rows", "beneficiaries"
+    )
+    held = runs.quarantined().groupBy("batch").agg(F.count("*").alias("held"))
+    batches = runs.log().join(held, "batch", "left")
+    return facts.union(batches.select("outcome", "batch", "delivered", F.coalesce("held", F.lit(0).cast("long"))))
+
+
 # Mart and its windows
 
 
@@ -553,7 +642,7 @@ def column_info(spark: SparkSession, folder: str) -> DataFrame:
 
 def yearly_trend(spark: SparkSession, folder: str) -> DataFrame:
     return profile.yearly_pivot(
-        _cohort(spark, folder), schema.YEAR, schema.SECTOR, schema.MEASURE, ["OFICIAL", "PRIVADO", schema.NO_SECTOR]
+        _staged(spark, folder), schema.YEAR, schema.SECTOR, schema.MEASURE
     ).withColumnRenamed(schema.NO_SECTOR, "NO_CLASIFICADO")
 
 
@@ -674,13 +763,14 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         credit_mart,
-        csv_extract, csv_sniffed, macro_extract, macro_pages, malformed_rows, parquet_staging,
+        csv_extract, csv_sniffed, macro_extract, macro_pages, page_completeness, malformed_rows, parquet_staging,
         cleaned_cohort, join_keys, accent_removal, typed_columns, macro_aliases, inferred_types, complete_rows,
         target_rows, comma_audit,
         fuzzy_mapping, mapped_names, name_scores, part_name_mapping, macro_annual, merged_macro, unmatched_audit,
         unmatched_regions, residual_nulls, macro_coverage, year_medians,
         surrogate_keys, null_safe_fact, resolved_fact, rejected_rows, star_join, orphan_keys,
         member_upsert, year_replacement, full_refresh, incremental_run, mart_refresh, monthly_batches,
+        failed_load, run_rejects, monthly_run, gated_batch,
         mart_totals, region_totals, sector_share, yearly_change, large_totals, share_change, region_rank,
         distinct_regions, distinct_counts, value_frequencies, null_report, column_info, yearly_trend, outlier_report,
         outlier_rows, description, duplicate_rows, measure_histogram, key_range, geo_key_audit, preview,

@@ -19,6 +19,10 @@ from regiostar.sources.columns import require_columns
 SUFFIX = "_api"
 
 
+class NoRegionMatches(RuntimeError):
+    """Not one macro region resembles a cohort region."""
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
@@ -75,7 +79,7 @@ def annual_macro(
     mapping = materialize(map_names(sums, "raw", names, names_column, threshold), "name-mapping")
     types = {f.name: f.dataType for f in macro.schema.fields}
     if mapping.filter(F.col("canonical").isNotNull()).isEmpty():
-        raise RuntimeError("no macro region matches a cohort region; lower the threshold or check the column")
+        raise NoRegionMatches("no macro region matches a cohort region; lower the threshold or check the column")
     return mapping, means_by_region(sums, mapping, chosen, types), chosen
 
 

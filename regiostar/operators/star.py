@@ -165,11 +165,16 @@ def star_join(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame
 
 
 def orphan_counts(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Per dimension, fact rows and distinct keys without a member, from the fact's distinct keys."""
+    """Per dimension, fact rows and distinct keys without a member. One scan counts the rows per key of all dimensions."""
+    keys = schema.SURROGATE_KEYS
+    counted = fact.groupingSets([[F.col(k)] for k in keys], *keys).agg(
+        F.grouping_id().alias("_set"), F.count("*").alias("rows")
+    )
+    used = materialize(counted, "used-keys")
     checks = []
-    for d in schema.DIMENSIONS:
-        used = fact.groupBy(d.key).agg(F.count("*").alias("rows"))
-        orphans = used.join(dimensions[d.table], d.key, "left_anti")
+    for i, d in enumerate(schema.DIMENSIONS):
+        own = 2 ** len(keys) - 1 - 2 ** (len(keys) - 1 - i)  # all columns but this one are left out
+        orphans = used.filter(F.col("_set") == own).join(dimensions[d.table], d.key, "left_anti")
         checks.append(
             orphans.agg(
                 F.lit(d.table).alias("dimension"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regiostar import schema
 from regiostar.operators.clean import clean_and_standardise, map_columns, resolve_macro_columns
@@ -14,7 +15,7 @@ from regiostar.operators.typing import optimise_types
 from regiostar.plans.warehouse import RESULTS_TABLE, Warehouse
 from regiostar.session import fresh_path, materialize
 from regiostar.sources.cohort_csv import read_cohort
-from regiostar.sources.macro_records import extract_records
+from regiostar.sources.macro_records import NUMBER, PAGE_NUMBER, extract_records, landed_pages, page_report, require_complete_pages
 from regiostar.sources.staging import read_staging, write_staging
 
 
@@ -31,6 +32,8 @@ class RunConfig:
     threshold: float = schema.MATCH_THRESHOLD
     rules: list[Rule] | None = None  # an incremental run needs them, as their row bounds depend on the delivery
     run_id: str = ""
+    page_size: int | None = None  # records per landed macro page; None if the files are no numbered pages
+    page_number: str = PAGE_NUMBER
 
 
 def table_rows(cohort: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -44,9 +47,20 @@ def staged_cohort(spark: SparkSession, config: RunConfig) -> DataFrame:
 
 
 def staged_macro(spark: SparkSession, config: RunConfig) -> DataFrame:
-    """The text records are parsed from JSON once; type inference and casts read the staged columns."""
-    records = extract_records(spark, config.macro_path, min_year=config.min_year, arrays=config.macro_arrays)
-    return optimise_types(read_staging(spark, write_staging(records, fresh_path(spark, "macro"))))
+    """The text records are parsed from JSON once; type inference and casts read the staged columns.
+
+    With a page size, records of all years are staged with their page's number, and an incomplete set of pages is
+    refused before any year is left out.
+    """
+    if config.page_size is None:
+        records = extract_records(spark, config.macro_path, min_year=config.min_year, arrays=config.macro_arrays)
+        return optimise_types(read_staging(spark, write_staging(records, fresh_path(spark, "macro"))))
+    records = extract_records(
+        spark, config.macro_path, min_year=None, arrays=config.macro_arrays, page_number=config.page_number
+    )
+    records = read_staging(spark, write_staging(records, fresh_path(spark, "macro")))
+    require_complete_pages(page_report(records, config.page_size, landed_pages(spark, config.macro_path, config.page_number)))
+    return optimise_types(records.drop(NUMBER).filter(F.col(schema.MACRO_YEAR) >= F.lit(str(config.min_year))))
 
 
 def merged_cohort(cohort: DataFrame, macro: DataFrame, threshold: float) -> tuple[DataFrame, MacroMerge]:

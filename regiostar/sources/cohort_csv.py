@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,7 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
 
 
 REJECTED, REASON, FILE = "_rejected", "_reason", "_file"
+BOM = "\ufeff"
 
 
 def read_csv_rows(
@@ -63,26 +64,42 @@ def read_csv_rows(
     if delimiter is None:
         delimiter = max(DELIMITERS, key=lambda d: len(split_header(header, d)))
     named = list(names) if names is not None else split_header(header, delimiter)
-    places = [f"c{i}" for i in range(len(named))]
-    options = {"sep": delimiter, "quote": '"', "escape": '"'}
-    if multiline:
-        columns = T.StructType([T.StructField(c, T.StringType()) for c in [*places, REJECTED]])
-        df = spark.read.schema(columns).options(header=names is None, multiLine=True, columnNameOfCorruptRecord=REJECTED, **options).csv(path)
-        fields, line = [F.col(c) for c in places], F.col(REJECTED)
-    else:
-        df = spark.read.text(path).select(F.ltrim(F.col("value"), F.lit("\ufeff")).alias("line"), "_metadata")
-        df = df.filter(F.trim("line") != "")
+    if not multiline:
+        df = spark.read.text(path).select(F.ltrim(F.col("value"), F.lit(BOM)).alias("line"), F.col("_metadata.file_name").alias(FILE))
         if names is None:
             df = df.filter(F.col("line") != header)  # the first line of every file
-        cut = F.from_csv("line", ", ".join(f"{c} string" for c in places), options)
-        df = df.select("line", "_metadata", cut.alias("cut"))
-        fields, line = [F.col(f"cut.{c}") for c in places], F.col("line")
+        return cut_lines(df, named, delimiter)
+    places = _places(named)
+    columns = T.StructType([T.StructField(c, T.StringType()) for c in [*places, REJECTED]])
+    options = {**_options(delimiter), "multiLine": True, "columnNameOfCorruptRecord": REJECTED}
+    df = spark.read.schema(columns).options(header=names is None, **options).csv(path)
+    df = df.select("*", F.col("_metadata.file_name").alias(FILE))
+    return _accounted(df, [F.col(c) for c in places], F.col(REJECTED), named, delimiter)
+
+
+def _places(names: list[str]) -> list[str]:
+    return [f"c{i}" for i in range(len(names))]
+
+
+def _options(delimiter: str) -> dict[str, str]:
+    return {"sep": delimiter, "quote": '"', "escape": '"'}
+
+
+def cut_lines(lines: DataFrame, names: Iterable[str], delimiter: str = ",", keep: Iterable[str] = ()) -> DataFrame:
+    """Rows as ``read_csv_rows`` gives them, from a ``line`` with its ``_file`` and columns to ``keep``; blank lines are no rows."""
+    named, kept_too = list(names), list(keep)
+    cut = F.from_csv("line", ", ".join(f"{c} string" for c in _places(named)), _options(delimiter))
+    df = lines.filter(F.trim("line") != "").select("line", FILE, *kept_too, cut.alias("cut"))
+    return _accounted(df, [F.col(f"cut.{c}") for c in _places(named)], F.col("line"), named, delimiter, kept_too)
+
+
+def _accounted(df: DataFrame, fields: list[Column], line: Column, names: list[str], delimiter: str, keep: Iterable[str] = ()) -> DataFrame:
     # Delimiters inside quotes are none; a doubled quote looks like two quoted parts side by side.
     bare = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
     count = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
-    reason = F.when(F.contains(bare, F.lit('"')), "open quote").when(count > len(named), "too many fields")
-    texts = [F.when(~field.isin(*schema.NULL_TOKENS), field).alias(name) for field, name in zip(fields, named, strict=True)]
-    return df.select(*texts, F.when(reason.isNotNull(), line).alias(REJECTED), reason.alias(REASON), F.col("_metadata.file_name").alias(FILE))
+    reason = F.when(F.contains(bare, F.lit('"')), "open quote").when(count > len(names), "too many fields")
+    texts = [F.when(~field.isin(*schema.NULL_TOKENS), field).alias(name) for field, name in zip(fields, names, strict=True)]
+    return df.select(*texts, F.when(reason.isNotNull(), line).alias(REJECTED), reason.alias(REASON), FILE, *keep)
 
 
 def kept(rows: DataFrame) -> DataFrame:
@@ -117,7 +134,11 @@ def extract_csv(
     The numeric columns are declared, not inferred, which saves a pass over the files. A value that is
     no number becomes null.
     """
-    df = read_csv_text(spark, path, delimiter, multiline)
+    return whole_numbers(read_csv_text(spark, path, delimiter, multiline), numeric)
+
+
+def whole_numbers(df: DataFrame, numeric: Iterable[str] = NUMERIC_SOURCES) -> DataFrame:
+    """Text columns with the stated ones as whole numbers, without thousands separators."""
     wanted = set(numeric)
     return df.select(
         *[
