@@ -42,8 +42,8 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: No SQL for trained scores, samples of hashes and files; tests/llm compares near duplicates, overlaps and token files with
-#: brute force, checks properties of scores and mixing, and compares no result of run().
+#: No SQL for trained scores, samples of hashes and files; tests/llm/test_pipeline.py compares the rows of run() after each stage
+#: with brute force on planted cases.
 ORACLE_SQL = None
 
 
