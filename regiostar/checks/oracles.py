@@ -563,4 +563,6 @@ ORACLES: dict[str, str] = {
         FROM mart WHERE pib_miles_millones_promedio IS NOT NULL"""),
     "mart_slice": _sql("""
         SELECT * FROM mart WHERE vigencia IN (1999, 2000) AND sector_ies = 'PRIVADO' AND variacion_yoy_pct >= 0"""),
+    "written_mart_slice": _sql("""
+        SELECT * FROM mart WHERE vigencia IN (1999, 2000) AND sector_ies = 'PRIVADO' AND variacion_yoy_pct >= 0"""),
 }

@@ -759,6 +759,14 @@ def mart_slice(spark: SparkSession, folder: str) -> DataFrame:
     return plain(chosen)
 
 
+def written_mart_slice(spark: SparkSession, folder: str) -> DataFrame:
+    """The same slice of the mart that a warehouse has written; only the folders of the two years are read."""
+    warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
+    warehouse.load(materialize(_merged_rows(spark, folder), "merged"))
+    warehouse.refresh_mart()
+    return plain(dashboard.mart_slice(warehouse.mart(), years=[1999, 2000], sectors=["PRIVADO"], min_change=0))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -775,6 +783,6 @@ QUERIES: dict[str, Query] = {
         distinct_regions, distinct_counts, value_frequencies, null_report, column_info, yearly_trend, outlier_report,
         outlier_rows, description, duplicate_rows, measure_histogram, key_range, geo_key_audit, preview,
         quality_rules, quality_failures, quality_history, table_constraints, key_uniqueness,
-        yearly_evolution, yearly_sector_shares, regional_sector_shares, density_points, mart_slice,
+        yearly_evolution, yearly_sector_shares, regional_sector_shares, density_points, mart_slice, written_mart_slice,
     )
 }

@@ -20,7 +20,7 @@ LONG = {
     "member_upsert", "year_replacement", "full_refresh", "incremental_run", "mart_refresh", "monthly_batches", "mart_totals",
     "yearly_evolution", "density_points", "mart_slice", "unmatched_audit", "unmatched_regions", "residual_nulls",
     "macro_coverage", "csv_sniffed", "mapped_names", "rejected_rows", "orphan_keys", "quality_history", "resolved_fact",
-    "failed_load", "run_rejects", "monthly_run", "gated_batch",
+    "failed_load", "run_rejects", "monthly_run", "gated_batch", "written_mart_slice",
 }
 CHOSEN = [n for n in QUERIES if os.environ.get("ALL_QUERIES") or n not in LONG]
 
