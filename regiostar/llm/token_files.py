@@ -8,9 +8,10 @@ A token set is a folder with four flat little-endian files per part, parts in as
 - ``valid-NNNNN.bin``    one byte per document, 0 where the document id is null
 
 Offsets count over the whole set, so a reader needs no other part. Parts come from a range partitioning by document
-id. First every task writes its ids and counts; then the counts per part become bases by a prefix sum, and a second
-step writes offsets as base plus running count. A task writes under a name of its own and renames at its end, so a
-repeated or lost task leaves the same files.
+id; rows of one id (or of none) are dealt out by how their texts begin, which keeps their order. The number of parts
+follows the bytes of the texts. First every task writes its ids and counts; then the counts per part become bases by a
+prefix sum, and a second step writes offsets as base plus running count. A task writes under a name of its own and
+renames at its end, so a repeated or lost task leaves the same files.
 
 Defined results: a null text counts as empty and yields the end id only; null document ids come first; rows that
 share an id are ordered by their text; an empty table gives a set without parts; other columns are ignored.
@@ -42,6 +43,9 @@ AMBIGUOUS = re.compile(r"\s \s")
 CLOSING = ".,;:!?"
 CACHE = 150_000
 READ_IDS = 1 << 20
+#: Bytes of text a part holds at most on average, and characters that tell rows of one id apart between parts.
+PART_BYTES = 1 << 28
+PREFIX = 64
 
 
 class ByteLetters(dict):
@@ -146,12 +150,19 @@ def _normal(folder: str) -> str:
     return folder if "://" in folder else f"file://{folder}"
 
 
+def _parts(docs: DataFrame) -> int:
+    """As many parts as the session shuffles to, more where the texts would make them too large."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
 def write_tokens(docs: DataFrame, tokenizer_file: str, folder: str, end_id: int = END_ID, parts: int | None = None) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into a token set below ``folder``; returns a row per part: part, docs, tokens, base."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     folder, dtype = _normal(folder), id_type(tokenizer_file, end_id)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    parts = parts or _parts(docs)
 
     # What a worker puts into the broadcast dictionary stays there from task to task.
     memory = spark.sparkContext.broadcast({})
@@ -187,8 +198,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, folder: str, end_id: int
             yield pa.RecordBatch.from_pydict({"part": [part], "docs": [n_docs], "tokens": [n_tokens]})
 
     counted = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-        .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+        docs.repartitionByRange(parts, "doc_id", F.substring("text", 1, PREFIX)).sortWithinPartitions("doc_id", "text")
         .mapInArrow(write, "part long, docs long, tokens long")
     )
     table = fresh_path(spark, "token-parts")
