@@ -503,6 +503,13 @@ ORACLES: dict[str, str] = {
             [f.name for f in schema.COHORT_FIELDS if f.type == "int"],
         )
     ),
+    "price_description": _per_column(
+        "SELECT '{c}' AS \"column\", count({c}) AS \"count\", round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+        "round(CAST(min({c}) AS DOUBLE), 6) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25, "
+        "round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50, round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q75, "
+        "round(CAST(max({c}) AS DOUBLE), 6) AS max FROM lineitem",
+        ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"],
+    ),
     "duplicate_rows": _sql("""
         SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n - 1) AS BIGINT) AS duplicates
         FROM (SELECT count(*) AS n FROM cohort GROUP BY ALL)""".replace(

@@ -669,6 +669,13 @@ def description(spark: SparkSession, folder: str) -> DataFrame:
     return stats.select("column", "count", *rounded)
 
 
+def price_description(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns of many distinct values, narrowed by sketches."""
+    stats = profile.describe(fx.table(spark, folder, "lineitem"), ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"])
+    rounded = [F.round(c, 6).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
+    return stats.select("column", "count", *rounded)
+
+
 def duplicate_rows(spark: SparkSession, folder: str) -> DataFrame:
     return profile.duplicate_rows(fx.cohort(spark, folder))
 
@@ -781,7 +788,7 @@ QUERIES: dict[str, Query] = {
         failed_load, run_rejects, monthly_run, gated_batch,
         mart_totals, region_totals, sector_share, yearly_change, large_totals, share_change, region_rank,
         distinct_regions, distinct_counts, value_frequencies, null_report, column_info, yearly_trend, outlier_report,
-        outlier_rows, description, duplicate_rows, measure_histogram, key_range, geo_key_audit, preview,
+        outlier_rows, description, price_description, duplicate_rows, measure_histogram, key_range, geo_key_audit, preview,
         quality_rules, quality_failures, quality_history, table_constraints, key_uniqueness,
         yearly_evolution, yearly_sector_shares, regional_sector_shares, density_points, mart_slice, written_mart_slice,
     )

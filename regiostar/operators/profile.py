@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiostar import schema
-from regiostar.operators.quantiles import exact_quantiles, quantiles_of_counts, value_counts
+from regiostar.operators.quantiles import column_quantiles, exact_quantiles, quantiles_of_counts, sketch_ends, value_counts
 from regiostar.session import materialize
 
 
@@ -101,18 +101,30 @@ def outlier_report(df: DataFrame, measure: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column."""
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column.
+
+    One scan gives the moments and a sketch of the quartiles of all columns, a second one counts the values around them.
+    """
     chosen = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    listed = F.array(*[F.struct(F.lit(c).alias("column"), _c(c).cast("double").alias("value")) for c in chosen])
-    long = df.select(F.inline(listed))
-    basics = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75])
+    if not chosen:
+        raise ValueError("no numeric column to describe")
+    quarters = [0.25, 0.5, 0.75]
+    aggregates = []
+    for i, name in enumerate(chosen):
+        value = _c(name).cast("double")
+        aggregates += [
+            F.count(value).alias(f"count{i}"),
+            F.avg(value).alias(f"mean{i}"),
+            F.stddev_samp(value).alias(f"std{i}"),
+            F.min(value).alias(f"min{i}"),
+            F.max(value).alias(f"max{i}"),
+            sketch_ends(value, quarters).alias(f"sketch{i}"),
+        ]
+    parts = ["count", "mean", "std", "min", "max", "sketch"]
+    rows = [F.struct(F.lit(name).alias("column"), *[F.col(f"{x}{i}").alias(x) for x in parts]) for i, name in enumerate(chosen)]
+    basics = materialize(df.agg(*aggregates).select(F.inline(F.array(*rows))), "column-moments")
+    sketches = {row["column"]: (row["sketch"], row["count"]) for row in basics.select("column", "sketch", "count").collect()}
+    quartiles = column_quantiles(df, sketches, quarters)
     q = F.col("quantiles")
     return basics.join(quartiles, "column", "left").select(
         "column", "count", "mean", "std", "min",

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regiostar import schema
-from regiostar.operators import profile, quality
+from regiostar.operators import profile, quality, quantiles
 from regiostar.plans import dashboard
 from regiostar.plans.runs import RunConfig, run_incremental
 
@@ -98,6 +98,40 @@ def test_describe_equals_pandas(spark):
         assert got == pytest.approx(list(want))
 
 
+def test_quantiles_around_sketched_ends(spark, table, monkeypatch):
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 100)
+    n = 5000
+    df = spark.range(n).select(
+        ((F.col("id") * 7919) % n * 0.5).alias("spread"),
+        F.when(F.col("id") % 3 > 0, 4.0).otherwise(F.col("id")).alias("tied"),
+        F.when(F.col("id") < 4, F.col("id") * 1e300).otherwise(F.col("id") * 1e-300).alias("far apart"),
+        F.when(F.col("id") % 2 == 0, -F.col("id")).alias("half null"),
+        F.lit(None).cast("int").alias("null"),
+        F.when(F.col("id") % 5 == 0, float("inf")).otherwise(F.col("id")).alias("infinite"),
+    )
+    data = df.toPandas()
+    for r in profile.describe(df).collect():
+        column = data[r["column"]].dropna().astype(float)
+        want = [column.quantile(p) if len(column) else None for p in (0.25, 0.5, 0.75)]
+        assert [r["q25"], r["q50"], r["q75"]] == pytest.approx(want), r["column"]
+    sketched = {"spread": ([600.0, 650.0, 1225.0, 1275.0, 1850.0, 1900.0], n)}
+    narrowed = quantiles.narrowed_counts(df, {"spread": quantiles.brackets_of(*sketched["spread"])})
+    assert narrowed.count() == 3 * 101 + 4 and narrowed.agg(F.sum("_count")).first()[0] == n
+    wrong = {"spread": ([0.0, 1.0, 2.0, 3.0, 4.0, 5.0], n)}
+    for ends in (sketched, wrong):
+        found = quantiles.column_quantiles(df, ends, [0.25, 0.5, 0.75]).first()["quantiles"]
+        assert found == pytest.approx(list(data["spread"].quantile([0.25, 0.5, 0.75])))
+
+
+def test_describe_counts_nan_as_greatest_and_takes_no_rows(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 100)
+    df = spark.range(1001).select(F.when(F.col("id") > 600, float("nan")).otherwise(F.col("id")).alias("a b"))
+    row = profile.describe(df).first()
+    assert (row["q25"], row["q50"]) == (250.0, 500.0) and row["q75"] != row["q75"]
+    empty = profile.describe(df.limit(0)).first()
+    assert (empty["count"], empty["q50"], empty["max"]) == (0, None, None)
+
+
 def test_histogram_closes_its_last_bin(table):
     df = table("n int", *[(i,) for i in (1, 1, 2, 50, 50, 51, 60)])
     bins = {r["bin"]: r["rows"] for r in profile.histogram(df, "n").collect()}
