@@ -13,6 +13,7 @@ from regiostar import schema
 from regiostar.functions.numbers import numeric
 from regiostar.operators.fuzzy import apply_mapping, map_names
 from regiostar.operators.quantiles import quantiles_of_counts
+from regiostar.operators.sums import band_means, band_sums
 from regiostar.session import materialize
 from regiostar.sources.columns import require_columns
 
@@ -36,9 +37,7 @@ def with_macro_year(macro: DataFrame, year: str = schema.MACRO_YEAR) -> DataFram
 
 def sums_by_name(macro: DataFrame, year: str, region: str, values: Sequence[str]) -> DataFrame:
     """Sums and counts per (year, raw name): all that later steps need of the macro rows."""
-    sums = [F.sum(F.col(v).cast("double")).alias(f"sum_{v}") for v in values]
-    counts = [F.count(v).alias(f"count_{v}") for v in values]
-    return macro.groupBy(F.col(year).alias("year"), F.col(region).cast("string").alias("raw")).agg(*sums, *counts)
+    return band_sums(macro, {"year": F.col(f"`{year}`"), "raw": F.col(f"`{region}`").cast("string")}, values)
 
 
 def means_by_region(
@@ -46,16 +45,10 @@ def means_by_region(
 ) -> DataFrame:
     """Mean of each value per (year, canonical name), over all rows of all names that map to it.
 
-    Means are computed in double precision; a 32-bit float column gives 32-bit means.
+    Sums are exact, so that the means do not depend on how rows are dealt out.
     """
     mapped = apply_mapping(sums, "raw", mapping, "region").filter(F.col("region").isNotNull())
-    means = [
-        (F.sum(f"sum_{v}") / F.nullif(F.sum(f"count_{v}"), F.lit(0)))
-        .cast("float" if isinstance(types[v], T.FloatType) else "double")
-        .alias(v)
-        for v in values
-    ]
-    return mapped.groupBy("year", "region").agg(*means)
+    return band_means(mapped, ["year", "region"], values, types)
 
 
 def annual_macro(

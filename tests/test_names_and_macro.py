@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from regiostar.functions.similarity import indel_ratio, position_masks
 from regiostar.operators import fuzzy, merge
 from regiostar.operators.numbering import number_rows
 from regiostar.operators.quantiles import quantiles_of_counts, value_counts
+from regiostar.operators.sums import band_means, band_sums
 from regiostar.operators.typing import inferred_types, optimise_types
 from tests.test_functions import plain, score
 
@@ -188,3 +190,24 @@ def test_candidates_of_names_with_a_common_word(spark):
         found = fuzzy.candidate_pairs(sources.where(F.col("source").isin(few)), targets.where(F.col("target").isin(few)), threshold)
         assert {(a, b) for a, b, s in full if s >= threshold} <= {tuple(r) for r in found.collect()}
     assert fuzzy.candidate_pairs(sources, targets, 85.0).count() < 0.05 * len(names) ** 2
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    draw = random.Random(3)
+    numbers = [draw.uniform(-1, 1) * 10.0 ** draw.randint(-30, 30) for _ in range(2000)] + [0.1] * 50 + [0.0, -0.0, 1e300, -1e300, 5e-324]
+    rows = [(i % 3, "x", v, float(i)) for i, v in enumerate(numbers)] + [(3, "x", float("inf"), None), (3, "x", 2.0, None), (4, "x", None, None)]
+    found = set()
+    for parts in (1, 3, 8):
+        draw.shuffle(rows)
+        df = spark.createDataFrame(rows, "year int, name string, a double, b float").repartition(parts)
+        sums = band_sums(df, {"year": F.col("year"), "raw": F.col("name")}, ["a", "b"])
+        types = {f.name: f.dataType for f in df.schema.fields}
+        means = band_means(sums, ["year", "raw"], ["a", "b"], types).orderBy("year").collect()
+        found.add(tuple(means))
+    assert len(found) == 1
+    for year in range(3):
+        mine = [(a, b) for y, _, a, b in rows if y == year]
+        assert means[year]["a"] == pytest.approx(math.fsum(a for a, _ in mine) / len(mine), rel=1e-12)
+        assert means[year]["b"] == pytest.approx(sum(b for _, b in mine) / len(mine), rel=1e-7)
+    assert [(m["a"], m["b"]) for m in means[3:]] == [(float("inf"), None), (None, None)]
+    assert band_means(band_sums(df, {"year": F.col("year")}, []), ["year"], [], {}).count() == 5
