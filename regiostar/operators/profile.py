@@ -1,10 +1,10 @@
-"""Profiling reports. Each reads the table once or works on a reduced form of it."""
+"""Profiling reports. Unless said otherwise, each reads the table once or works on a reduced form of it."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,15 +132,35 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows; nulls count as equal."""
-    copies = df.groupBy(*[_c(c) for c in df.columns]).agg(F.count("*").alias("_copies"))
-    return copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
+def row_digest(columns: Sequence[str]) -> Column:
+    """128 bits of a row in which nulls have a place of their own."""
+    values = [_c(c) for c in columns]
+    nulls = F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values])
+    return F.struct(
+        F.xxhash64(nulls, *values).alias("a"), F.xxhash64(F.lit("second"), *reversed(values), nulls).alias("b")
     )
 
 
+def duplicate_rows(df: DataFrame, digest: Callable[[Sequence[str]], Column] = row_digest) -> DataFrame:
+    """Rows beyond the first of each set of equal rows; nulls count as equal.
+
+    Digests are counted first; whole rows move only where a digest occurs more than once, to be compared as they are. The
+    columns are read twice for this, and the rows counted once more.
+    """
+    columns = [f"_{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*columns)
+    if not columns:
+        counted = df.agg(F.count("*").alias("total_rows"))
+        return counted.withColumn("duplicates", F.greatest(F.col("total_rows") - 1, F.lit(0)))
+    key = digest(columns)
+    digests = rows.groupBy(key["a"].alias("_a"), key["b"].alias("_b")).agg(F.count("*").alias("_copies"))
+    repeated = materialize(digests.filter("_copies > 1").select("_a", "_b"), "repeated-digests")
+    keyed = rows.withColumns({"_a": key["a"], "_b": key["b"]})
+    groups = keyed.join(repeated, ["_a", "_b"], "left_semi").groupBy("_a", "_b", *columns).agg(F.count("*").alias("_copies"))
+    surplus = groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"))
+    return rows.agg(F.count("*").alias("total_rows")).select("total_rows", surplus.select("duplicates").scalar().alias("duplicates"))
+
+
 def histogram(df: DataFrame, measure: str, cap: float = 50, bins: int = 50) -> DataFrame:
     """Equal-width bins over the values up to ``cap``; the last bin includes its upper edge.
 

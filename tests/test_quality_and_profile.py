@@ -175,3 +175,16 @@ def test_dashboard(table):
 def test_an_incremental_run_needs_rules(spark, tmp_path):
     with pytest.raises(ValueError, match="rules"):
         run_incremental(spark, RunConfig("nowhere", str(tmp_path)))
+
+
+def test_duplicate_rows_with_nulls_and_equal_digests(spark, table):
+    rows = [(1, None, 0.0), (1, None, -0.0), (None, "1", 0.0), (None, None, None), (None, None, None), (2, "", float("nan")), (2, "", float("nan"))]
+    df = table("`a b` int, b string, c double", *rows)
+    doubled = df.select(F.col("a b").alias("_a"), F.col("b").alias("_a_b"), F.col("c").alias("_copies"))
+    one_digest = lambda columns: F.struct(F.lit(1).alias("a"), F.lit(1).alias("b"))
+    for given in (df, doubled):
+        assert tuple(profile.duplicate_rows(given).first()) == (7, 3)
+        assert tuple(profile.duplicate_rows(given, one_digest).first()) == (7, 3)
+    assert tuple(profile.duplicate_rows(df.limit(0)).first()) == (0, 0)
+    swapped = table("a string, b string", ("x", None), (None, "x"), ("x", "y"), ("y", "x"))
+    assert tuple(profile.duplicate_rows(swapped).first()) == (4, 0)
