@@ -265,6 +265,12 @@ ORACLES: dict[str, str] = {
     # Sources and sinks
     "csv_extract": _sql(_EXTRACTED),
     "csv_sniffed": _sql(_EXTRACTED),
+    "required_columns": """
+        SELECT 'l_orderkey' AS "column", true AS present, count(l_orderkey) AS n_values FROM lineitem
+        UNION ALL SELECT 'l_quantity', true, count(l_quantity) FROM lineitem
+        UNION ALL SELECT 'l_discount', false, CAST(0 AS BIGINT)
+        UNION ALL SELECT 'l_tax', false, CAST(0 AS BIGINT)
+        UNION ALL SELECT 'l_rebate', true, count(l_discount) FROM lineitem""",
     "macro_extract": _sql(f"""
         SELECT a_o, departamento, count(*) AS n_rows, count(DISTINCT actividad) AS activities,
                CAST(sum(CAST(valor AS DECIMAL(15,2))) AS DOUBLE) AS total

@@ -21,6 +21,7 @@ from regiostar.plans.runs import RunConfig, run_full_refresh, run_incremental
 from regiostar.plans.warehouse import RESULTS_TABLE, Warehouse
 from regiostar.session import fresh_path, materialize
 from regiostar.sources import cohort_csv, macro_records, staging
+from regiostar.sources.columns import column_report
 from regiostar.streaming.batches import load_batches
 from regiostar.streaming.monthly import MonthlyRuns
 
@@ -105,6 +106,12 @@ def csv_extract(spark: SparkSession, folder: str, delimiter: str | None = ",") -
     )
 
 
+def required_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Which columns of a delivery that renamed one and lost one are there, and how many values they hold."""
+    delivered = fx.table(spark, folder, "lineitem").withColumnRenamed("l_discount", "l_rebate").drop("l_tax")
+    return column_report(delivered, ["l_orderkey", "l_quantity", "l_discount", "l_tax", "l_rebate"])
+
+
 def csv_sniffed(spark: SparkSession, folder: str) -> DataFrame:
     return csv_extract(spark, folder, delimiter=None)
 
@@ -788,7 +795,7 @@ QUERIES: dict[str, Query] = {
         failed_load, run_rejects, monthly_run, gated_batch,
         mart_totals, region_totals, sector_share, yearly_change, large_totals, share_change, region_rank,
         distinct_regions, distinct_counts, value_frequencies, null_report, column_info, yearly_trend, outlier_report,
-        outlier_rows, description, price_description, duplicate_rows, measure_histogram, key_range, geo_key_audit, preview,
+        outlier_rows, description, price_description, required_columns, duplicate_rows, measure_histogram, key_range, geo_key_audit, preview,
         quality_rules, quality_failures, quality_history, table_constraints, key_uniqueness,
         yearly_evolution, yearly_sector_shares, regional_sector_shares, density_points, mart_slice, written_mart_slice,
     )

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException, PySparkException
 
 from regiostar.sources import cohort_csv, macro_records
 from regiostar.sources.cohort_csv import extract_csv, read_cohort, sniff_delimiter
-from regiostar.sources.columns import missing_columns, require_columns, strip_column_names
+from regiostar.sources.columns import column_report, missing_columns, require_columns, strip_column_names
 from regiostar.sources.macro_records import extract_records, incomplete_pages, page_counts, read_records
 from regiostar.sources.staging import read_staging, write_staging
 
@@ -105,3 +105,10 @@ def test_broken_json_lines_are_reported(spark, tmp_path):
     rows = macro_records.read_record_rows(spark, path, ("k",))
     assert sorted(r.k or "" for r in macro_records.kept(rows).collect()) == ["", "1", "2020"]
     assert sorted(r._rejected for r in macro_records.rejected(rows).collect()) == ["[]", "text", '{"k": "2"']
+
+
+def test_column_report(spark):
+    df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "`a.b` int, c string")
+    rows = [tuple(r) for r in column_report(df, ["a.b", "c", "d", "c"]).collect()]
+    assert rows == [("a.b", True, 2), ("c", True, 1), ("d", False, 0)]
+    assert [tuple(r) for r in column_report(df.limit(0), ["c"]).collect()] == [("c", True, 0)]
