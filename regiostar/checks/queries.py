@@ -134,6 +134,9 @@ def macro_pages(spark: SparkSession, folder: str) -> DataFrame:
     ).groupBy("what").agg(F.count("*").alias("records"), F.min(F.length(macro_records.PAGE) > 0).alias("named"))
 
 
+PAGES_PER_WRITE = 200  # page folders one task writes
+
+
 def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
     """Orders landed as pages of 100 keys: every eleventh page is missing, every seventh lacks its later keys."""
     orders = spark.read.parquet(f"{folder}/orders.parquet")
@@ -141,7 +144,10 @@ def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
     landed = orders.filter((page % 11 != 3) & ((page % 7 != 2) | (F.col("o_orderkey") % 100 < 60)))
     path = fresh_path(spark, "landed-pages")
     records = landed.select(F.col("o_orderkey").cast("string").alias("key"), page.alias("page"))
-    records.repartition("page").write.partitionBy("page").json(path)
+    # Writing costs a file per page, not bytes: a fixed number of pages per task, so that adaptive execution does not
+    # coalesce thousands of pages into the few tasks their bytes would fill.
+    tasks = -(-records.select("page").distinct().count() // PAGES_PER_WRITE)
+    records.repartition(max(tasks, 1), "page").write.partitionBy("page").json(path)
     pattern = r"page=(\d+)/"
     found = macro_records.read_records(spark, path, min_year=None, columns=("key",), page_number=pattern)
     return macro_records.page_report(found, 100, macro_records.landed_pages(spark, path, pattern))
