@@ -2,9 +2,10 @@
 
 A stripe belongs to a prefix of 0 to 3 words: a counter of the words that follow it, with one element for "nothing, or
 nothing that can be frequent". Tasks build stripes of many texts at a time, Spark merges them element by element, and
-the merged elements give everything: each element is an extension (a phrase and its count), the sum over a stripe is
-the count of its prefix, and its largest element is the largest phrase that extends the prefix to the right; the same
-maximum by the elements' last words gives the largest extension to the left.
+the merged elements give everything: each element is an extension (a phrase and its count), the sum over the stripe of
+a language is its count of words, and a stripe's largest element is the largest phrase that extends the prefix to the
+right; the same maximum by the elements' last words gives the largest extension to the left. A longer prefix's own count
+is its element one level down, so only the language's stripe carries "nothing" and no other stripe ships it again.
 
 Only phrases that can be frequent get elements. Rounds for one to four words add the hashes of phrases to cells, of
 which there are an eighth to a quarter as many as bytes of text (at most 2**``MOST_BITS``); a phrase whose cell holds fewer than
@@ -220,7 +221,10 @@ def _phrases(words: Words, at: np.ndarray, m: int) -> pa.Array:
 
 
 def _stripes(words: Words, maps: list[np.ndarray], longest: int) -> Iterator[pa.RecordBatch]:
-    """Prefix, following words (null: none that can be frequent) and their counts, for each length of the prefix."""
+    """Prefix, following words and their counts, for each length of the prefix.
+
+    Only the empty prefix has the following word null (none that can be frequent), so its stripe sums to all words.
+    """
     possible = words.possible(maps)
     nothing = len(words.vocabulary)
     for m in range(1, longest + 1):
@@ -229,6 +233,10 @@ def _stripes(words: Words, maps: list[np.ndarray], longest: int) -> Iterator[pa.
             continue
         goes_on = np.zeros(len(words), bool)
         goes_on[: len(possible[m - 1])] = possible[m - 1]
+        if m > 1:  # a prefix's count is its own element one level down; only the language's stripe needs "nothing"
+            at = at[goes_on[at]]
+            if not len(at):
+                continue
         follows = np.full(len(at), nothing)
         follows[goes_on[at]] = words.number[at[goes_on[at]] + m - 1]
         prefix = words.hash(m - 1)[at] if m > 1 else words.lang[at]
@@ -289,7 +297,8 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 30, subsumed: in
     )
     phrases = elements.where(frequent & (F.col("m") > 1)).select("m", "lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("n").alias("a"))
     phrases = materialize(phrases, "phrases")
-    totals = stripes.where("m > 1").select("lang", F.col("prefix").alias("part"), "total")
+    part = F.when(F.col("m") == 1, F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
+    totals = elements.where(frequent & (F.col("m") < longest)).select("lang", part.alias("part"), F.col("n").alias("total"))
 
     words = F.split("phrase", " ")
     left, right = (F.array_join(F.slice(words, a, b), " ") for a, b in ((F.lit(1), F.col("k")), (F.col("k") + 1, F.col("m") - F.col("k"))))

@@ -153,3 +153,11 @@ def test_collocations_of_odd_rows(spark):
     assert stripes.collocations(empty).count() == 0 and stripes.collocations(empty.where("false")).count() == 0
     rows = [(1, "a b", None, *MORE)] * 29 + [(None, "a\tb", "und", *MORE)]
     assert [tuple(r) for r in stripes.collocations(spark.createDataFrame(rows, DOCS)).collect()] == [("und", 1, "a b", 30, 30, 30, 60, 1_000_000)]
+
+
+def test_stripes_ship_no_prefix_counts_twice(spark):
+    texts = ["new york city is big. new york city"] * 40 + ["new york"] * 5 + ["old town, new york"]
+    elements = stripes.merged(frame(spark, texts, ["en"]), least=5)
+    assert elements.where("m > 1 and next is null").count() == 0
+    got = stripes.collocations(frame(spark, texts, ["en"]), least=5).collect()
+    assert sorted(map(tuple, got)) == sorted(plain_collocations(texts, ["en"], 5, 2000, 80))
