@@ -1,7 +1,9 @@
 """Exact top-k search by inner product: branch and bound over dimension blocks in a vertical layout.
 
-Rows are packed into blocks of a fixed number of vectors. Each query block meets every candidate block in a task of
-its own (an equi-join on the block number; every pair of blocks is a bounded amount of work). There, scores accumulate
+Rows are packed into blocks of a fixed number of vectors. Each query block meets every candidate block in a cell of a
+grid (a few query blocks by a candidate block, a bounded amount of work and memory). Blocks are dealt to the cells by a
+shuffle, not by a join, which would broadcast every copy of the query blocks as long as their files are small. In a
+cell, scores accumulate
 one block of dimensions at a time over column-major components. After each block, what the remaining dimensions can
 add is bounded by the product of the remaining norms (Cauchy-Schwarz); candidates whose upper bound lies below the
 k-th best lower bound leave, and the survivors are compacted before the next block.
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -26,6 +28,7 @@ from pyspark.sql.window import Window
 from regiostar.session import materialize
 
 QUERY_ROWS, CANDIDATE_ROWS, DIMENSIONS = 512, 4096, 8
+QUERY_BLOCKS = 8  # query blocks in a cell
 PACKED = "block long, ids binary, dims int, data binary"
 
 
@@ -40,7 +43,10 @@ def whole_vectors(df: DataFrame, id_column: str, vector_column: str, scale: int
 
 
 def packed(vectors: DataFrame, rows: int, blocks: int) -> DataFrame:
-    """Blocks of at most ``rows`` vectors as little-endian 64-bit matrices, component by component."""
+    """Numbered blocks of at most ``rows`` vectors as little-endian matrices of the narrowest integers that hold them, component by component.
+
+    The number changes if the blocks are computed again, so they must be written once.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -52,19 +58,31 @@ def packed(vectors: DataFrame, rows: int, blocks: int) -> DataFrame:
                 dims = int(lengths.max(initial=0))
                 matrix = np.zeros((len(ids), dims), "<i8")
                 matrix[np.arange(dims) < lengths[:, None]] = flat
+                low, high = int(matrix.min(initial=0)), int(matrix.max(initial=0))
+                width = next(w for w in (1, 2, 4, 8) if -(1 << 8 * w - 1) <= low and high < 1 << 8 * w - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([0], pa.int64()), pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([dims], pa.int32()), pa.array([np.ascontiguousarray(matrix.T).tobytes()], pa.binary())],
+                    [pa.array([0], pa.int64()), pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([dims], pa.int32()), pa.array([matrix.T.astype(f"<i{width}", order="C").tobytes()], pa.binary())],
                     ["block", "ids", "dims", "data"],
                 )
 
     spread = vectors.repartition(blocks, F.xxhash64("id", "v"))
-    return spread.mapInArrow(pack, PACKED).withColumn("block", F.xxhash64("ids", "data"))
+    return spread.mapInArrow(pack, PACKED).withColumn("block", F.monotonically_increasing_id())
+
+
+def _dealt(groups: int) -> Column:
+    """A group for each block number. The blocks of a partition follow one another, so equal rows, which share a partition, spread too."""
+    block = F.col("block")
+    return F.pmod(F.shiftright(block, 33) + block.bitwiseAND(F.lit((1 << 33) - 1)), F.lit(groups))
+
+
+def _every(groups: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
 
 
 def _matrix(ids: bytes, dims: int, data: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     found = np.frombuffer(ids, "<i8")
     matrix = np.zeros((width, len(found)), np.int64)
-    matrix[:dims] = np.frombuffer(data, "<i8").reshape(dims, len(found))
+    matrix[:dims] = np.frombuffer(data, f"<i{len(data) // max(1, dims * len(found)) or 8}").reshape(dims, len(found))
     return found, matrix
 
 
@@ -104,26 +122,24 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, query_rows: int =
     left, right = queries.count(), vectors.count()
     q = materialize(packed(queries, query_rows, max(1, -(-left // query_rows))), "query-blocks")
     c = materialize(packed(vectors, candidate_rows, max(1, -(-right // candidate_rows))), "vector-blocks")
-    groups = max(1, -(-right // candidate_rows))
-    asked = q.select(
-        F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"), F.col("data").alias("q_data"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("group"),
-    )
-    met = asked.join(c.withColumn("group", F.pmod(F.col("block"), F.lit(groups))), "group")
-    # About eight pairs of blocks a task: a task holds a few megabytes however large the tables are.
-    pairs = met.repartition(max(1, -(-left // query_rows) * groups // 8), "q_block", "block")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n in range(len(batch)):
-                row = {name: batch.column(name)[n].as_py() for name in ("q_block", "q_ids", "q_dims", "q_data", "ids", "dims", "data")}
-                width = max(row["q_dims"], row["dims"])
-                asked, q = _matrix(row["q_ids"], row["q_dims"], row["q_data"], width)
-                ids, c = _matrix(row["ids"], row["dims"], row["data"], width)
-                found = [(np.full(len(top), row["q_block"]), np.full(len(top), i), np.full(len(top), asked[i]), top, score) for i, top, score in best(asked, q, ids, c, k)]
-                columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["q_block", "q_row", "query_id", "vec_id", "score"])
-
-    found = pairs.select("q_block", "q_ids", "q_dims", "q_data", "ids", "dims", "data").mapInArrow(search, "q_block long, q_row long, query_id long, vec_id long, score long")
+    rows, columns = max(1, -(-left // (query_rows * QUERY_BLOCKS))), max(1, -(-right // candidate_rows))
+    packing = ("block", "ids", "dims", "data")
+    asked = q.select(F.lit(True).alias("asks"), _dealt(rows).alias("row"), _every(columns).alias("column"), *packing)
+    offered = c.select(F.lit(False).alias("asks"), _every(rows).alias("row"), _dealt(columns).alias("column"), *packing)
+    cells = asked.unionByName(offered).repartition(rows * columns, "row", "column")
+
+    def search(cell: pa.Table) -> pa.Table:
+        blocks = cell.to_pylist()
+        found = []
+        for there in (b for b in blocks if not b["asks"]):
+            for here in (b for b in blocks if b["asks"]):
+                width = max(here["dims"], there["dims"])
+                asked, q = _matrix(here["ids"], here["dims"], here["data"], width)
+                ids, c = _matrix(there["ids"], there["dims"], there["data"], width)
+                found += [(np.full(len(top), here["block"]), np.full(len(top), i), np.full(len(top), asked[i]), top, score) for i, top, score in best(asked, q, ids, c, k)]
+        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
+        return pa.table([pa.array(x, pa.int64()) for x in columns], ["q_block", "q_row", "query_id", "vec_id", "score"])
+
+    found = cells.groupBy("row", "column").applyInArrow(search, "q_block long, q_row long, query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("q_block", "q_row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast(T.IntegerType()), "vec_id", "score")
