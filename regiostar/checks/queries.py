@@ -5,8 +5,12 @@ Results carry plain types only: decimals become doubles, so that any SQL engine
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,7 +138,54 @@ def macro_pages(spark: SparkSession, folder: str) -> DataFrame:
     ).groupBy("what").agg(F.count("*").alias("records"), F.min(F.length(macro_records.PAGE) > 0).alias("named"))
 
 
-PAGES_PER_WRITE = 200  # page folders one task writes
+PAGES_PER_WRITE = 200  # page files one task writes
+
+
+def _land_pages(records: DataFrame, path: str) -> None:
+    """A file per ``page`` with its records as JSON lines.
+
+    Writing costs a file per page, not bytes: a fixed number of pages per task, so that adaptive execution does not
+    coalesce thousands of pages into the few tasks their bytes would fill. On a local or mounted folder Spark's writer
+    starts two processes per file to set its mode, and a folder per page is listed by a task of its own. There, tasks
+    write the files themselves, a folder per task; a file gets its name when it is whole.
+    """
+    tasks = max(-(-records.select("page").distinct().count() // PAGES_PER_WRITE), 1)
+    dealt = records.repartition(tasks, "page")
+    context = records.sparkSession.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    landing = str(target.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(target))
+    if not landing.startswith("file:"):
+        dealt.write.partitionBy("page").json(path)
+        return
+    folder = "/" + landing.removeprefix("file:").lstrip("/")
+    os.makedirs(folder, exist_ok=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        own, attempt = f"{folder}/task={context.partitionId()}", f".{context.taskAttemptId()}.json"
+        os.makedirs(own, exist_ok=True)
+        page, file = None, None
+
+        def close() -> None:
+            if file is not None:
+                file.close()
+                os.replace(f"{own}/{attempt}", f"{own}/part-{context.partitionId():05d}-page={page}.json")
+
+        for batch in batches:
+            numbers, lines = batch.column("page"), batch.column("line")
+            starts = [0, *(np.flatnonzero(np.diff(numbers.to_numpy())) + 1).tolist(), len(batch)]
+            for start, end in zip(starts, starts[1:]):
+                if end > start:
+                    if (number := numbers[start].as_py()) != page:
+                        close()
+                        page, file = number, open(f"{own}/{attempt}", "w", encoding="utf-8")
+                    file.write("\n".join([*lines.slice(start, end - start).to_pylist(), ""]))
+        close()
+        yield from ()
+
+    line = F.to_json(F.struct(*[c for c in records.columns if c != "page"])).alias("line")
+    written = dealt.sortWithinPartitions("page").select("page", line).mapInArrow(write, "page long")
+    written.write.format("noop").mode("overwrite").save()
 
 
 def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,12 +194,8 @@ def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
     page = F.floor(F.col("o_orderkey") / 100)
     landed = orders.filter((page % 11 != 3) & ((page % 7 != 2) | (F.col("o_orderkey") % 100 < 60)))
     path = fresh_path(spark, "landed-pages")
-    records = landed.select(F.col("o_orderkey").cast("string").alias("key"), page.alias("page"))
-    # Writing costs a file per page, not bytes: a fixed number of pages per task, so that adaptive execution does not
-    # coalesce thousands of pages into the few tasks their bytes would fill.
-    tasks = -(-records.select("page").distinct().count() // PAGES_PER_WRITE)
-    records.repartition(max(tasks, 1), "page").write.partitionBy("page").json(path)
-    pattern = r"page=(\d+)/"
+    _land_pages(landed.select(F.col("o_orderkey").cast("string").alias("key"), page.alias("page")), path)
+    pattern = r"page=(\d+)[./]"
     found = macro_records.read_records(spark, path, min_year=None, columns=("key",), page_number=pattern)
     return macro_records.page_report(found, 100, macro_records.landed_pages(spark, path, pattern))
 

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiostar import schema
+from regiostar.session import materialize
 
 PAGE, REJECTED = "_page", "_rejected"
 NUMBER, RECORDS, MISSING, OUTCOME = "page_number", "records", "missing_before", "outcome"
 PAGE_NUMBER = r"(\d+)[^\d/]*$"  # the last digits of a path: p12.json is page 12
+TASKS = 1_000  # tasks that read page files; more cores use more
 PAGES_AT_ONCE = 10_000  # page numbers that one task compares; fewer pages would need no split
 
 
@@ -21,6 +23,12 @@ class IncompletePages(RuntimeError):
     """Pages are missing, cut short or have no number."""
 
 
+def gathered(files: DataFrame, tasks: int = TASKS) -> DataFrame:
+    """Rows of many small files, read by a limited number of tasks: Spark gives each task a few files, whatever they hold."""
+    limit = max(tasks, 4 * files.sparkSession.sparkContext.defaultParallelism)
+    return files.coalesce(limit) if files.rdd.getNumPartitions() > limit else files
+
+
 def read_records(
     spark: SparkSession,
     path: str,
@@ -38,7 +46,7 @@ def read_records(
     fields = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     df = spark.read.schema(fields).option("multiLine", arrays).option("mode", "FAILFAST").json(path)
     number = [] if page_number is None else [number_of(F.col("_metadata.file_path"), page_number).alias(NUMBER)]
-    df = df.select("*", F.col("_metadata.file_name").alias(PAGE), *number)
+    df = gathered(df.select("*", F.col("_metadata.file_name").alias(PAGE), *number))
     if min_year is None:
         return df
     return df.filter(F.col(year_column) >= F.lit(str(min_year)))
@@ -98,7 +106,7 @@ def landed_pages(spark: SparkSession, path: str, page_number: str = PAGE_NUMBER)
 
     Spark lists no file of zero bytes, so such a page counts as missing.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = gathered(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path))
     return files.select(number_of(F.col("path"), page_number).alias(NUMBER)).distinct()
 
 
@@ -117,6 +125,7 @@ def page_report(
     if pages is not None:
         counts = counts.unionByName(pages.select(NUMBER, F.lit(0).cast("long").alias(RECORDS)))
         counts = counts.groupBy(NUMBER).agg(F.sum(RECORDS).alias(RECORDS))
+    counts = materialize(counts, "page-counts")  # else every use reads the files again
     blocked = counts.withColumn("_block", F.floor(F.col(NUMBER) / block))
     ends = blocked.filter(F.col(NUMBER).isNotNull()).groupBy("_block").agg(F.max(NUMBER).alias("_end"))
     before = ends.select("_block", F.lag("_end").over(W.orderBy("_block")).alias("_before"))
