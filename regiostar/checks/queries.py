@@ -23,7 +23,7 @@ from regiostar.operators.quantiles import exact_quantiles
 from regiostar.plans import dashboard, mart
 from regiostar.plans.runs import RunConfig, run_full_refresh, run_incremental
 from regiostar.plans.warehouse import RESULTS_TABLE, Warehouse
-from regiostar.session import fresh_path, materialize
+from regiostar.session import fresh_path, materialize, small_methods
 from regiostar.sources import cohort_csv, macro_records, staging
 from regiostar.sources.columns import column_report
 from regiostar.streaming.batches import load_batches
@@ -596,6 +596,7 @@ def run_rejects(spark: SparkSession, folder: str) -> DataFrame:
 def _monthly(spark: SparkSession, folder: str, second_measure) -> MonthlyRuns:
     """Raw batches: all years; then 1997 and 1998 again with the given measure; then 1998 with tripled measures."""
     landing, root = fresh_path(spark, "landing"), fresh_path(spark, "warehouse")
+    small_methods(spark)
     rows, year, measure = materialize(fx.cohort(spark, folder), "cohort"), F.col(schema.YEAR), F.col(schema.MEASURE)
     rules = [
         quality.not_null(schema.YEAR),

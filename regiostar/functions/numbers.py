@@ -14,9 +14,15 @@ DATE_LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy", "MM-dd-yyyy")
 
 
 def to_number(col: Column) -> Column:
-    """Text to double, null if it is no number. Java's own parser would also take ``1d`` or ``2f``."""
+    """Text to double, null if it is no number. Java's own parser would also take ``1d``, ``2f`` or ``0x1p3``.
+
+    Texts between a sign, point or digit and a point or digit, the usual case, cannot hold any of these but the last, and need no pattern.
+    """
     text = strip(col)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    matched = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    last = F.right(col, F.lit(1))
+    usual = (col >= "+") & (col < ":") & (last >= ".") & (last < ":") & ~F.contains(F.lower(col), F.lit("x"))
+    return F.when(usual, col.try_cast("double")).otherwise(matched)
 
 
 def numeric(df: DataFrame, name: str) -> Column:
@@ -31,8 +37,12 @@ def whole(number: Column) -> Column:
 
 
 def to_integer(col: Column) -> Column:
-    """Text to int, null if it is no whole number."""
-    return whole(to_number(col))
+    """Text to int, null if it is no whole number.
+
+    Digits with or without a sign, the usual case, are cast at once; a cast alone would also drop control characters at the ends.
+    """
+    plain = (col >= "+") & (col < ":") & F.right(col, F.lit(1)).between("0", "9")
+    return F.coalesce(F.when(plain, col.try_cast("int")), whole(to_number(col)))
 
 
 def integer(df: DataFrame, name: str) -> Column:

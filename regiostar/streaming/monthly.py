@@ -13,7 +13,7 @@ from regiostar.operators.merge import NoRegionMatches
 from regiostar.operators.quality import QualityGateError, gate
 from regiostar.plans.runs import RunConfig, merged_cohort, staged_macro
 from regiostar.plans.warehouse import RESULTS_TABLE, Warehouse
-from regiostar.session import discard, fresh_path, materialize
+from regiostar.session import discard, fresh_path, materialize, small_methods
 from regiostar.sources.cohort_csv import BOM, FILE, REASON, REJECTED, cut_lines, whole_numbers
 
 BATCH, HEADER = "_batch", "_header"
@@ -40,6 +40,7 @@ class MonthlyRuns:
         if config.rules is None:
             raise ValueError("give the rules of the gate, such as standard_suite(min_rows=..., max_rows=...)")
         self.spark, self.config, self.checkpoint, self.max_unreadable = spark, config, checkpoint, max_unreadable
+        small_methods(spark)
         self.landing = config.cohort_path.rstrip("/")
         self.warehouse = Warehouse(spark, config.warehouse_root)
 
@@ -133,13 +134,13 @@ class MonthlyRuns:
             reason = "no rows"
         else:
             readable = rows.filter(~header & ~unreadable).select(*[f"`{n}`" for n in SOURCES])
-            cohort = materialize(clean_and_standardise(whole_numbers(readable)), "cohort")
+            # Not written: the merge reads two of the columns for its counts, and all of them once more.
+            cohort = clean_and_standardise(whole_numbers(readable))
             try:
                 merged = materialize(merged_cohort(cohort, macro, self.config.threshold)[0], "merged")
                 gate(merged, self.config.rules, f"{self.warehouse.root}/{RESULTS_TABLE}", name)
             except (QualityGateError, NoRegionMatches) as error:
                 reason = str(error)
-            discard(cohort)
         held = rows.filter(~header) if reason else rows.filter(unreadable)
         held = held.drop(HEADER).withColumn(REASON, F.coalesce(REASON, F.lit(reason)))
         self._replace(QUARANTINE_TABLE, name, held)

@@ -1,4 +1,5 @@
 import random
+import re
 import unicodedata
 
 import pytest
@@ -133,3 +134,17 @@ def test_score_equals_the_slow_way_at_any_length(table):
 def test_score_of_null_is_null(table):
     df = table("a string, b string", (None, "x"), ("x", None))
     assert [r["s"] for r in with_name_score(df, "a", "b", "s").collect()] == [None, None]
+
+
+def test_short_cuts_change_no_text_and_no_number(table):
+    """Texts that begin or end with spaces, control characters or signs, and what Java's parser takes beside decimals."""
+    marks = ["", "\t", "\x01", "\x1c", "\x7f", "\x84", "\x85", "\xa0", "\xa1", "\u1680", "\u2003", "\u3000", "\ufeff", "\u00e9", "+", "-", ".", "/", ":", "x", "d"]
+    cores = ["5", "1.0", "1.5", "1e5", "0x1p3", "2147483648", "007", "a b", "."]
+    texts = [None, *[a + core + b for a in marks for core in cores for b in marks]]
+    decimal = re.compile(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?")
+    rows = table("v string", *[(t,) for t in texts])
+    for r in rows.select("v", strip(F.col("v")).alias("s"), to_number(F.col("v")).alias("n"), to_integer(F.col("v")).alias("i")).collect():
+        bare = None if r.v is None else r.v.strip()
+        number = float(bare) if bare is not None and decimal.fullmatch(bare) else None
+        whole = int(number) if number is not None and number == int(number) and -(2**31) <= number < 2**31 else None
+        assert (r.s, r.n, r.i) == (bare, number, whole), repr(r.v)

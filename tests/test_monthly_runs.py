@@ -7,6 +7,7 @@ from regiostar.operators.quality import between, not_null
 from regiostar.plans.runs import RunConfig, staged_macro
 from regiostar.sources import macro_records
 from regiostar.sources.macro_records import PAGE_NUMBER, IncompletePages, landed_pages, page_report, read_records, require_complete_pages
+from regiostar.streaming import monthly as monthly_module
 from regiostar.streaming.monthly import MonthlyRuns
 
 SOURCES = [f.source for f in schema.COHORT_FIELDS]
@@ -142,3 +143,23 @@ def test_a_run_refuses_missing_pages(spark, monthly):
     assert runs.log().isEmpty()
     runs.config.page_size = 2
     assert staged_macro(spark, runs.config).count() == 2
+
+
+def test_batches_are_cleaned_in_the_merge_by_small_methods(spark, monthly, monkeypatch):
+    """No cleaned copy of a batch is written, and its wide projections stay below what the JVM compiles in any session."""
+    runs, landing = monthly
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    chosen, written, write = spark.conf.get(limit), [], monthly_module.materialize
+    monkeypatch.setattr(monthly_module, "materialize", lambda df, name: written.append(name) or write(df, name))
+    land(landing, "01", line("2,018"), line("2019", region=" antioquia ", n='"1,002"'))
+    try:
+        spark.conf.set(limit, "65535")
+        MonthlyRuns(spark, runs.config, runs.checkpoint).run()
+        assert spark.conf.get(limit) == "8000"
+        spark.conf.set(limit, "500")
+        MonthlyRuns(spark, runs.config, runs.checkpoint)
+        assert spark.conf.get(limit) == "500"
+    finally:
+        spark.conf.set(limit, chosen)
+    assert written == ["merged"]
+    assert facts(runs) == [(2018, 1, 18.0), (2019, 1002, 19.0)]
