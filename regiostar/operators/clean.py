@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from regiostar import schema
 from regiostar.functions.numbers import integer, numeric
 from regiostar.functions.text import drop_thousands, standardise, strip
+from regiostar.session import small_methods
 from regiostar.sources.columns import require_columns, strip_column_names
 
 YEAR_SOURCE = schema.PERIOD.fields[0].source
@@ -38,6 +39,7 @@ def standardise_text(df: DataFrame) -> DataFrame:
 
 
 def clean_and_standardise(df: DataFrame, year: str = YEAR_SOURCE, sector: str = SECTOR_SOURCE) -> DataFrame:
+    small_methods(df.sparkSession)
     df = strip_column_names(df).fillna({sector: schema.NO_SECTOR})
     return parse_year(standardise_text(df), year)
 
@@ -51,6 +53,7 @@ def clean_join_keys(df: DataFrame, year: str = YEAR_SOURCE, region: str = REGION
 
 def map_columns(df: DataFrame, fields: Iterable[schema.Field], keep: Sequence[str] = ()) -> DataFrame:
     """Rename source columns and cast them: whole numbers or null, stripped text."""
+    small_methods(df.sparkSession)
     fields = list(fields)
     require_columns(df, [f.source for f in fields], "source")
     mapped = [

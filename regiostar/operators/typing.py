@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from regiostar import schema
 from regiostar.functions.numbers import to_moment, to_number
+from regiostar.session import small_methods
 
 
 def _is_dated(name: str) -> bool:
@@ -20,6 +21,7 @@ def text_columns(df: DataFrame) -> list[str]:
 
 def column_evidence(df: DataFrame, distinct: bool = True) -> DataFrame:
     """One row per text column: rows, values, how many parse as number or date, distinct values."""
+    small_methods(df.sparkSession)
     names = text_columns(df)
     counts = [F.count("*").alias("n_rows")]
     for i, name in enumerate(names):

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from regiostar import schema
 from regiostar.functions.numbers import to_integer
 from regiostar.functions.text import drop_thousands
+from regiostar.session import small_methods
 from regiostar.sources.columns import strip_column_names
 
 DELIMITERS = (",", ";", "\t", "|")
@@ -139,6 +140,7 @@ def extract_csv(
 
 def whole_numbers(df: DataFrame, numeric: Iterable[str] = NUMERIC_SOURCES) -> DataFrame:
     """Text columns with the stated ones as whole numbers, without thousands separators."""
+    small_methods(df.sparkSession)
     wanted = set(numeric)
     return df.select(
         *[
